@@ -16,11 +16,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom import scratch
-from feedloom.contract import HEAD_SIZE, SORT_KEYS, sort_columns
+from feedloom.contract import HEAD_SIZE, sort_columns
+from feedloom.functions import lines
 
 # How monotonically_increasing_id is laid out: 33 low bits for the row.
 ROW_BITS = 33
 
+BUCKETS = "bucket INT, n BIGINT, before BIGINT"
+CONTENT = ("raw", "id", "name", "continent", "partition", "offset")
+
 
 def _bucket():
     return F.shiftright("slot", ROW_BITS).cast("int").alias("bucket")
@@ -43,12 +47,11 @@ def store_ordering(
     The latter is written last: an ordering without it is not finished.
     """
     spark = records.sparkSession
+    # What the sort does not need is not carried through the shuffle: the line has it.
+    lean = records.select("raw", *sort_columns(key))
     (
-        in_order(records, key, ranges)
-        .select(
-            F.monotonically_increasing_id().alias("slot"),
-            "raw", "id", "name", "continent", "partition", "offset",
-        )
+        in_order(lean, key, ranges)
+        .select(F.monotonically_increasing_id().alias("slot"), "*")
         .write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/rows")
     )
     counts = spark.read.parquet(f"{path}/rows").groupBy(_bucket()).agg(F.count("*").alias("n"))
@@ -67,25 +70,36 @@ def read_ordering(spark: SparkSession, path: str) -> DataFrame:
     The bucket table has as many rows as the sort had partitions. Catalyst knows
     its file size and broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    rows = spark.read.parquet(f"{path}/rows").withColumn("bucket", _bucket())
-    buckets = spark.read.parquet(f"{path}/buckets").select("bucket", "before")
-    row_in_bucket = F.col("slot").bitwiseAND((1 << ROW_BITS) - 1)
-    return rows.join(buckets, "bucket").select(
-        (F.col("before") + row_in_bucket + 1).cast("bigint").alias("pos"),
-        "raw", "id", "name", "continent", "partition", "offset", "bucket",
-    )
+    rows = _read_rows(spark, path).withColumn("bucket", _bucket())
+    buckets = spark.read.schema(BUCKETS).parquet(f"{path}/buckets").select("bucket", "before")
+    return rows.join(buckets, "bucket").select(_pos().alias("pos"), *CONTENT, "bucket")
+
+
+def _read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Stored rows; fields that were not sort columns are cut from the line again."""
+    rows = spark.read.parquet(f"{path}/rows")
+    line = F.col("raw")
+    missing = {"name": lines.name_of(line), "continent": lines.continent_of(line)}
+    return rows.withColumns({c: made for c, made in missing.items() if c not in rows.columns})
+
+
+def _row_in_bucket():
+    return F.col("slot").bitwiseAND((1 << ROW_BITS) - 1)
+
+
+def _pos():
+    return (F.col("before") + _row_in_bucket() + 1).cast("bigint")
 
 
 def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
     """The first ``n`` rows of a stored ordering; most rows are skipped by the scan."""
-    in_bucket = F.col("slot").bitwiseAND((1 << ROW_BITS) - 1)
-    rows = spark.read.parquet(f"{path}/rows").filter(in_bucket < n).withColumn("bucket", _bucket())
-    buckets = spark.read.parquet(f"{path}/buckets").filter(F.col("before") < n)
+    rows = _read_rows(spark, path).filter(_row_in_bucket() < n).withColumn("bucket", _bucket())
+    buckets = spark.read.schema(BUCKETS).parquet(f"{path}/buckets").filter(F.col("before") < n)
     return (
         rows.join(buckets.select("bucket", "before"), "bucket")
-        .withColumn("pos", (F.col("before") + in_bucket + 1).cast("bigint"))
+        .withColumn("pos", _pos())
         .filter(F.col("pos") <= n)
-        .select("pos", "raw", "id", "name", "continent", "partition", "offset")
+        .select("pos", *CONTENT)
     )
 
 
@@ -102,7 +116,7 @@ def head_of_ordering(records: DataFrame, key: str, n: int = HEAD_SIZE) -> DataFr
     columns = sort_columns(key)
     top = records.orderBy(*columns).limit(n)
     pos = F.row_number().over(Window.orderBy(*columns)).cast("bigint")
-    return top.select(pos.alias("pos"), "raw", "id", "name", "continent", "partition", "offset")
+    return top.select(pos.alias("pos"), *CONTENT)
 
 
 def merge_runs(runs: list[DataFrame]) -> DataFrame:
@@ -122,7 +136,3 @@ def keyed(orderings: dict[str, DataFrame]) -> DataFrame:
         lambda left, right: left.unionByName(right),
         [o.select(F.lit(key).alias("key"), "pos", "raw") for key, o in orderings.items()],
     )
-
-
-def all_keys() -> tuple[str, ...]:
-    return SORT_KEYS

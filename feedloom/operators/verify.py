@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.contract import HEAD_SIZE, sort_columns
@@ -16,20 +16,23 @@ def sortedness(
     key: str,
     position: str = "pos",
     within: tuple[str, ...] = (),
-    chunk_positions: int = CHUNK_POSITIONS,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """One row: rows, places where the key falls, and the first position of one.
 
     The order checked is the stored ``position``, separately for each value of
     ``within``. Neighbours are compared inside chunks of consecutive positions;
     the last key of a chunk meets the first of the next in a table with one row
-    per chunk. Equal neighbours are in order.
+    per chunk. ``chunk`` may name any cut of the order into such pieces. Equal
+    neighbours are in order.
     """
     sort_columns(key)
+    if chunk is None:
+        chunk = floor_div(F.col(position), CHUNK_POSITIONS)
     place, groups = F.col(position), list(within)
     narrow = rows.select(
         *groups, place.alias("at"), F.col(key).alias("k"),
-        floor_div(place, chunk_positions).alias("chunk"),
+        chunk.alias("chunk"),
     )
     inside = Window.partitionBy(*groups, "chunk").orderBy("at")
     per_chunk = (

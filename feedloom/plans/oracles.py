@@ -92,23 +92,18 @@ _SORTEDNESS = _per_key(
 
 
 def _generate() -> str:
-    def number(salt: str) -> str:
-        return f"CAST('0x' || substr(md5('{q.SEED}:' || id || ':{salt}'), 1, 15) AS BIGINT)"
-
-    def word(prefix: str, alphabet: str, longest: int, length: str) -> str:
-        letters = " || ".join(
-            f"substr('{alphabet}', ({prefix}{i // 7} // {len(alphabet) ** (i % 7)}) % {len(alphabet)} + 1, 1)"
-            for i in range(longest)
-        )
-        return f"substr({letters}, 1, {length})"
-
-    salts = ["n0", "n1", "n2", "a0", "a1", "a2", "s"]
-    drawn = ", ".join(f"{number(salt)} AS {salt}" for salt in salts)
+    def digest(salt: str) -> str:
+        return f"sha256('{q.SEED}:' || id || ':{salt}')"
+
     return f"""WITH ids AS (SELECT o_orderkey + 1 AS id FROM orders),
-drawn AS (SELECT id, {drawn} FROM ids),
-made AS (SELECT id, {word("n", LETTERS, 15, "CAST(s % 6 + 10 AS INTEGER)")} AS name,
-  {word("a", ADDRESS_CHARACTERS, 20, "CAST((s // 6) % 6 + 15 AS INTEGER)")} AS address,
-  {_CONTINENT_LIST}[(s // 36) % 6 + 1] AS continent FROM drawn)
+drawn AS (SELECT id, {digest("n")} AS n, {digest("a")} AS a FROM ids),
+spread AS (SELECT *, CAST('0x' || substr(a, 50, 15) AS BIGINT) AS s FROM drawn),
+made AS (SELECT id,
+  substr(translate(to_base64(unhex(n)), '0123456789+/=', '') || '{LETTERS}',
+    1, CAST(s % 6 + 10 AS INTEGER)) AS name,
+  substr(translate(to_base64(unhex(a)), '+/=', ' ') || '{ADDRESS_CHARACTERS}',
+    1, CAST((s // 6) % 6 + 15 AS INTEGER)) AS address,
+  {_CONTINENT_LIST}[(s // 36) % 6 + 1] AS continent FROM spread)
 SELECT id, name, address, continent, concat_ws(',', id, name, address, continent) AS value FROM made"""
 
 

@@ -53,7 +53,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _generate_feed(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = spark.read.schema("o_orderkey BIGINT").parquet(f"{sf_dir}/orders.parquet")
     return synthetic.records_for(orders.select((F.col("o_orderkey") + 1).alias("id")), SEED)
 
 

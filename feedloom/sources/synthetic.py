@@ -12,60 +12,49 @@ from feedloom.functions.lines import format_line
 NAME_LENGTHS = (10, 15)
 ADDRESS_LENGTHS = (15, 20)
 
-# Characters drawn from one 60-bit number. 63**7 is so far below 2**60 that every
-# character is as good as equally likely.
-DRAWS_PER_NUMBER = 7
+# The 64 digits of base64 less those that are not letters; a plus becomes the blank.
+NOT_LETTERS = "0123456789+/="
+NOT_ADDRESS = ("+/=", " ")
 
 
-def _number(id_: Column, seed: int, salt: str) -> Column:
-    """A 60-bit number that depends on nothing but the id, the seed and the salt."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), id_.cast("string"), F.lit(salt)))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+def _digest(seed: int, salt: str) -> Column:
+    """256 random-looking bits, as hex, from nothing but the id, the seed and the salt."""
+    return F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"), F.lit(salt)), 256)
 
 
-def _draw(number: Column, nth: int, choices: int) -> Column:
-    return F.pmod(F.call_function("div", number, F.lit(choices**nth)), F.lit(choices))
+def _letters(digest: Column, drop: str, put: str, spare: str) -> Column:
+    """Characters drawn by rejection: digits outside the alphabet are left out.
+
+    Of 43 digits about 35 are letters. Should there ever be too few, the alphabet
+    itself follows.
+    """
+    return F.concat(F.translate(F.base64(F.unhex(digest)), drop, put), F.lit(spare))
 
 
-def _word(prefix: str, alphabet: str, lengths: tuple[int, int], length_draw: Column) -> Column:
-    shortest, longest = lengths
-    characters = [
-        F.substr(
-            F.lit(alphabet),
-            (_draw(F.col(f"{prefix}{i // DRAWS_PER_NUMBER}"), i % DRAWS_PER_NUMBER, len(alphabet)) + 1)
-            .cast("int"),
-            F.lit(1),
-        )
-        for i in range(longest)
-    ]
-    return F.substring(F.concat(*characters), F.lit(1), (length_draw + shortest).cast("int"))
+def _draw(number: Column, nth: int, choices: int) -> Column:
+    return F.pmod(F.call_function("div", number, F.lit(nth)), F.lit(choices)).cast("int")
 
 
 def records_for(ids: DataFrame, seed: int = 0) -> DataFrame:
     """Records ``id, name, address, continent, value`` for a table with ``id``."""
-    names = -(-NAME_LENGTHS[1] // DRAWS_PER_NUMBER)
-    addresses = -(-ADDRESS_LENGTHS[1] // DRAWS_PER_NUMBER)
-    id_ = F.col("id")
-    drawn = ids.select(
-        "id",
-        *[_number(id_, seed, f"n{i}").alias(f"n{i}") for i in range(names)],
-        *[_number(id_, seed, f"a{i}").alias(f"a{i}") for i in range(addresses)],
-        _number(id_, seed, "s").alias("s"),
-    )
-    spread = [high - low + 1 for low, high in (NAME_LENGTHS, ADDRESS_LENGTHS)]
-    continent = F.pmod(
-        F.call_function("div", F.col("s"), F.lit(spread[0] * spread[1])), F.lit(len(CONTINENTS))
-    )
+    names, addresses = (high - low + 1 for low, high in (NAME_LENGTHS, ADDRESS_LENGTHS))
+    drawn = ids.select("id", _digest(seed, "n").alias("n"), _digest(seed, "a").alias("a"))
+    # The end of the second digest, none of which goes into the address.
+    drawn = drawn.withColumn("s", F.conv(F.substring("a", 50, 15), 16, 10).cast("bigint"))
+    name = _letters(F.col("n"), NOT_LETTERS, "", LETTERS)
+    address = _letters(F.col("a"), *NOT_ADDRESS, ADDRESS_CHARACTERS)
     fields = drawn.select(
         "id",
-        _word("n", LETTERS, NAME_LENGTHS, F.pmod("s", F.lit(spread[0]))).alias("name"),
-        _word(
-            "a", ADDRESS_CHARACTERS, ADDRESS_LENGTHS,
-            F.pmod(F.call_function("div", F.col("s"), F.lit(spread[0])), F.lit(spread[1])),
-        ).alias("address"),
-        F.get(F.array(*[F.lit(c) for c in CONTINENTS]), continent.cast("int")).alias("continent"),
+        F.substring(name, F.lit(1), _draw(F.col("s"), 1, names) + NAME_LENGTHS[0]).alias("name"),
+        F.substring(address, F.lit(1), _draw(F.col("s"), names, addresses) + ADDRESS_LENGTHS[0])
+        .alias("address"),
+        F.get(
+            F.array(*[F.lit(continent) for continent in CONTINENTS]),
+            _draw(F.col("s"), names * addresses, len(CONTINENTS)),
+        ).alias("continent"),
     )
-    return fields.withColumn("value", format_line(*[F.col(c) for c in ("id", "name", "address", "continent")]))
+    columns = [F.col(column) for column in ("id", "name", "address", "continent")]
+    return fields.withColumn("value", format_line(*columns))
 
 
 def generate_feed(
