@@ -5,58 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.contract import BAD_ID, MISSING_FIELD_1, MISSING_FIELD_2, MISSING_FIELD_3
-
 # The whole field must be a plain decimal number; a cast alone would also take
 # surrounding blanks.
 STRICT_INTEGER = r"\A[+-]?[0-9]+\z"
 
 
-def first_fields(line: Column, n: int) -> Column:
-    """The line up to, but without, its ``n``-th comma (the whole line if it has fewer)."""
+def head(line: Column, n: int) -> Column:
+    """The line up to, but without, its ``n``-th comma; all of it if it has fewer."""
     return F.substring_index(line, ",", n)
 
 
-def has_commas(line: Column, n: int) -> Column:
-    return F.octet_length(first_fields(line, n)) < F.octet_length(line)
-
-
-def id_of(line: Column) -> Column:
-    """First field as a signed 64-bit number, NULL unless it is exactly that."""
-    field = first_fields(line, 1)
-    return F.when(field.rlike(STRICT_INTEGER), field.try_cast("bigint"))
-
-
-def name_of(line: Column) -> Column:
-    return F.substring_index(first_fields(line, 2), ",", -1)
-
+def last_field(part: Column) -> Column:
+    return F.substring_index(part, ",", -1)
 
-def address_of(line: Column) -> Column:
-    return F.substring_index(first_fields(line, 3), ",", -1)
 
-
-def continent_of(line: Column) -> Column:
-    """Everything after the third comma, further commas included.
+def rest(line: Column, start: Column) -> Column:
+    """What follows the comma after ``start``, further commas included.
 
     Cut by bytes, not characters: a broken multi-byte character in front of a
     comma would shift a count of characters.
     """
-    start = F.octet_length(first_fields(line, 3)) + 2
-    return F.substr(line.cast("binary"), start).cast("string")
+    return F.substr(line.cast("binary"), F.octet_length(start) + 2).cast("string")
 
 
-def is_valid(line: Column) -> Column:
-    return has_commas(line, 3) & id_of(line).isNotNull()
+def strict_id(field: Column) -> Column:
+    """The field as a signed 64-bit number, NULL unless it is exactly that."""
+    return F.when(field.rlike(STRICT_INTEGER), field.try_cast("bigint"))
 
 
-def error_of(line: Column) -> Column:
-    """Why the line is malformed, NULL if it is not."""
-    return (
-        F.when(~has_commas(line, 1), MISSING_FIELD_1)
-        .when(~has_commas(line, 2), MISSING_FIELD_2)
-        .when(~has_commas(line, 3), MISSING_FIELD_3)
-        .when(id_of(line).isNull(), BAD_ID)
-    )
+def name_of(line: Column) -> Column:
+    return last_field(head(line, 2))
+
+
+def continent_of(line: Column) -> Column:
+    return rest(line, head(line, 3))
 
 
 def format_line(*fields: Column) -> Column:
