@@ -22,6 +22,12 @@ from feedloom.functions import lines
 # How monotonically_increasing_id is laid out: 33 low bits for the row.
 ROW_BITS = 33
 
+# Nearly every value of these columns is new: a dictionary of them is wasted work.
+ROW_OPTIONS = {
+    "compression": "snappy",
+    **{f"parquet.enable.dictionary#{column}": "false" for column in ("slot", "raw", "offset")},
+}
+
 BUCKETS = "bucket INT, n BIGINT, before BIGINT"
 CONTENT = ("raw", "id", "name", "continent", "partition", "offset")
 
@@ -52,7 +58,7 @@ def store_ordering(
     (
         in_order(lean, key, ranges)
         .select(F.monotonically_increasing_id().alias("slot"), "*")
-        .write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/rows")
+        .write.mode("overwrite").options(**ROW_OPTIONS).parquet(f"{path}/rows")
     )
     counts = spark.read.parquet(f"{path}/rows").groupBy(_bucket()).agg(F.count("*").alias("n"))
     # One row per sorted partition, so one task can sum them up.
@@ -70,9 +76,21 @@ def read_ordering(spark: SparkSession, path: str) -> DataFrame:
     The bucket table has as many rows as the sort had partitions. Catalyst knows
     its file size and broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    rows = _read_rows(spark, path).withColumn("bucket", _bucket())
-    buckets = spark.read.schema(BUCKETS).parquet(f"{path}/buckets").select("bucket", "before")
-    return rows.join(buckets, "bucket").select(_pos().alias("pos"), *CONTENT, "bucket")
+    return _with_pos(_read_rows(spark, path), _read_buckets(spark, path))
+
+
+def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
+    """The first ``n`` rows of a stored ordering.
+
+    Stamps grow with positions, so the bucket table tells the stamp of the n-th
+    row, and the scan skips all row groups beyond it.
+    """
+    buckets = _read_buckets(spark, path)
+    holder = buckets.filter(F.col("before") < n).orderBy(F.desc("before")).first()
+    if holder is None:
+        return read_ordering(spark, path).limit(0).drop("bucket")
+    last = (holder["bucket"] << ROW_BITS) + n - holder["before"] - 1
+    return _with_pos(_read_rows(spark, path).filter(F.col("slot") <= last), buckets).drop("bucket")
 
 
 def _read_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -83,23 +101,17 @@ def _read_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({c: made for c, made in missing.items() if c not in rows.columns})
 
 
-def _row_in_bucket():
-    return F.col("slot").bitwiseAND((1 << ROW_BITS) - 1)
-
+def _read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BUCKETS).parquet(f"{path}/buckets").select("bucket", "before")
 
-def _pos():
-    return (F.col("before") + _row_in_bucket() + 1).cast("bigint")
 
-
-def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
-    """The first ``n`` rows of a stored ordering; most rows are skipped by the scan."""
-    rows = _read_rows(spark, path).filter(_row_in_bucket() < n).withColumn("bucket", _bucket())
-    buckets = spark.read.schema(BUCKETS).parquet(f"{path}/buckets").filter(F.col("before") < n)
+def _with_pos(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    row_in_bucket = F.col("slot").bitwiseAND((1 << ROW_BITS) - 1)
+    pos = (F.col("before") + row_in_bucket + 1).cast("bigint")
     return (
-        rows.join(buckets.select("bucket", "before"), "bucket")
-        .withColumn("pos", _pos())
-        .filter(F.col("pos") <= n)
-        .select("pos", *CONTENT)
+        rows.withColumn("bucket", _bucket())
+        .join(buckets, "bucket")
+        .select(pos.alias("pos"), *CONTENT, "bucket")
     )
 
 
