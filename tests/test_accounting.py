@@ -1,0 +1,120 @@
+"""Counts, rates, silences and reconciliation."""
+
+import datetime as dt
+
+import pytest
+from helpers import START, feed_of
+from pyspark.sql import functions as F
+
+from feedloom.operators import accounting, sizing
+from feedloom.operators.intake import parse_feed, valid_records
+
+
+def at(spark, seconds, partition=0):
+    """Valid records at the given seconds after the start."""
+    rows = [(f"{i},n,a,c", partition, i, START + dt.timedelta(seconds=s)) for i, s in enumerate(seconds)]
+    return valid_records(spark.createDataFrame(rows, "value STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"))
+
+
+def start():
+    return F.lit("2024-01-01 00:00:00").cast("timestamp")
+
+
+def test_intake(spark):
+    lines = ["1,a,b,c", "x", "1,a", "1,a,b", "x,a,b,c", None, "2,a,b,c,d"]
+    row = accounting.intake_stats(parse_feed(feed_of(spark, lines))).first()
+    assert row.asDict() == {
+        "partition": 0, "messages": 7, "valid": 2, "malformed": 5, "missing_field_1": 2,
+        "missing_field_2": 1, "missing_field_3": 1, "bad_id": 1,
+    }
+
+
+def test_topic_size(spark):
+    rows = accounting.topic_size(feed_of(spark, ["a"] * 5, 2)).collect()
+    assert {(r["partition"], r["messages"], r["end_offset"]) for r in rows} == {(0, 3, 3), (1, 2, 2)}
+
+
+def test_throughput_shows_quiet_intervals(spark):
+    rows = accounting.throughput(at(spark, [0, 1, 9.999, 10, 35]), 10, start()).collect()
+    assert [tuple(r) for r in sorted(rows)] == [
+        (0, 3, 3, 0.3, 0.3), (1, 1, 4, 0.1, 0.2), (2, 0, 4, 0.0, 4 / 30), (3, 1, 5, 0.1, 0.125),
+    ]
+
+
+def test_throughput_keeps_earlier_rows_and_empty_feeds(spark):
+    rows = accounting.throughput(at(spark, [-100, 5]), 10, start()).collect()
+    assert [(r["interval_no"], r["records"]) for r in rows] == [(0, 2)]
+    assert accounting.throughput(at(spark, [1]).filter("id < 0"), 10, start()).count() == 0
+
+
+def test_completion(spark):
+    row = accounting.completion_summary(at(spark, [0, 10, 20]), 4).first()
+    assert tuple(row) == (3, 4, 75.0, 20.0, 0.15, True)
+    alone = accounting.completion_summary(at(spark, [5]), 1).first()
+    assert (alone["elapsed_seconds"], alone["rate"], alone["short_of_target"]) == (0.0, None, False)
+
+
+def model_idle_cut(seconds, limit):
+    kept = []
+    for s in sorted(seconds):
+        if kept and s - kept[-1] > limit:
+            break
+        kept.append(s)
+    return kept
+
+
+@pytest.mark.parametrize("seconds", [
+    [0, 1, 2], [0, 10, 20], [0, 10.000001, 11], [3, 12.9, 22.9, 33, 34], [9.9, 19.95, 30], [5],
+    [-30, -21, -9.5, 0.5, 10.6], [-5, 5, 15.1],
+])
+def test_idle_cut_is_exact(spark, seconds):
+    kept = accounting.idle_cut(at(spark, seconds), 10).collect()
+    found = sorted((r["timestamp"].replace(tzinfo=dt.timezone.utc) - START).total_seconds() for r in kept)
+    assert found == model_idle_cut(seconds, 10)
+
+
+def test_idle_cut_takes_each_partition_by_itself(spark, monkeypatch):
+    records = at(spark, [0, 50, 51]).unionByName(at(spark, [0, 5, 11], 1)).unionByName(at(spark, [0, 99], 2))
+    for limit in (100_000, 1):
+        monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", limit)
+        counts = accounting.idle_cut(records, 10).groupBy("partition").count().collect()
+        assert {r["partition"]: r["count"] for r in counts} == {0: 1, 1: 3, 2: 1}
+
+
+def test_malformed_rows_do_not_restart_the_clock(spark):
+    feed = feed_of(spark, ["1,a,b,c", "broken", "broken", "2,a,b,c"], seconds=6)
+    assert [r["id"] for r in accounting.idle_cut(valid_records(feed), 10).collect()] == [1]
+
+
+def test_liveness(spark):
+    records = at(spark, [0, 40]).unionByName(at(spark, [55], 1))
+    as_of = F.lit("2024-01-01 00:01:00").cast("timestamp")
+    rows = {r["partition"]: r for r in accounting.liveness(records, as_of, 10).collect()}
+    assert [(rows[p]["valid"], rows[p]["idle_seconds"], rows[p]["alive"]) for p in (0, 1)] == [
+        (2, 20.0, False), (1, 5.0, True),
+    ]
+
+
+def delivery(spark, produced, delivered):
+    made = spark.createDataFrame([(raw,) for raw in produced], "raw STRING")
+    came = spark.createDataFrame([(k, raw) for k, raws in delivered.items() for raw in raws], "key STRING, raw STRING")
+    rows = accounting.reconcile(made, came, ("id", "name")).collect()
+    return {r["key"]: (r["produced"], r["delivered"], r["counts_match"], r["contents_match"]) for r in rows}
+
+
+def test_reconcile_sees_losses_doubles_and_swaps(spark):
+    lines = [f"{i},a,b,c" for i in range(50)] + ["0,a,b,c"]
+    same = (51, 51, True, True)
+    assert delivery(spark, lines, {"id": lines, "name": lines[::-1]}) == {"id": same, "name": same}
+    found = delivery(spark, lines, {"id": lines[1:], "name": lines + lines[:1]})
+    assert found == {"id": (51, 50, False, False), "name": (51, 52, False, False)}
+    swapped = ["x"] + lines[1:]
+    doubled = [lines[1]] + lines[1:]
+    found = delivery(spark, lines, {"id": swapped, "name": doubled})
+    assert found == {"id": (51, 51, True, False), "name": (51, 51, True, False)}
+
+
+def test_reconcile_with_missing_and_empty_sides(spark):
+    assert delivery(spark, ["a"], {"id": ["a"]})["name"] == (1, 0, False, False)
+    assert delivery(spark, [], {"id": ["a"]})["id"] == (0, 1, False, False)
+    assert delivery(spark, ["a"], {"other": ["a"]})["other"] == (0, 1, False, False)
