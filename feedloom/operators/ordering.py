@@ -18,16 +18,11 @@ from pyspark.sql import functions as F
 from feedloom import scratch
 from feedloom.contract import HEAD_SIZE, sort_columns
 from feedloom.functions import lines
+from feedloom.operators.sizing import table_options
 
 # How monotonically_increasing_id is laid out: 33 low bits for the row.
 ROW_BITS = 33
 
-# Nearly every value of these columns is new: a dictionary of them is wasted work.
-ROW_OPTIONS = {
-    "compression": "snappy",
-    **{f"parquet.enable.dictionary#{column}": "false" for column in ("slot", "raw", "offset")},
-}
-
 BUCKETS = "bucket INT, n BIGINT, before BIGINT"
 CONTENT = ("raw", "id", "name", "continent", "partition", "offset")
 
@@ -58,7 +53,7 @@ def store_ordering(
     (
         in_order(lean, key, ranges)
         .select(F.monotonically_increasing_id().alias("slot"), "*")
-        .write.mode("overwrite").options(**ROW_OPTIONS).parquet(f"{path}/rows")
+        .write.mode("overwrite").options(**table_options("slot", "raw", "offset")).parquet(f"{path}/rows")
     )
     counts = spark.read.parquet(f"{path}/rows").groupBy(_bucket()).agg(F.count("*").alias("n"))
     # One row per sorted partition, so one task can sum them up.

@@ -1,4 +1,4 @@
-"""Checked broadcasts and shuffle widths."""
+"""Checked broadcasts, shuffle widths and table formats."""
 
 from __future__ import annotations
 
@@ -35,3 +35,12 @@ def ranges_for(spark, raw_bytes: int) -> int | None:
     """
     wanted = -(-raw_bytes // BYTES_PER_RANGE)
     return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def table_options(*distinct: str) -> dict[str, str]:
+    """Parquet options; nearly all values of the ``distinct`` columns are new, so a
+    dictionary of them would be wasted work."""
+    return {
+        "compression": "snappy",
+        **{f"parquet.enable.dictionary#{column}": "false" for column in distinct},
+    }

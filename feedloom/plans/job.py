@@ -11,7 +11,7 @@ from feedloom.contract import SORT_KEYS, sort_columns
 from feedloom.operators import accounting, verify
 from feedloom.operators.intake import parse_feed
 from feedloom.operators.ordering import keyed, read_ordering, store_ordering
-from feedloom.operators.sizing import ranges_for
+from feedloom.operators.sizing import ranges_for, table_options
 
 
 def store_parsed(feed: DataFrame, path: str) -> int:
@@ -23,7 +23,9 @@ def store_parsed(feed: DataFrame, path: str) -> int:
     seen = Observation("parsed")
     size = F.coalesce(F.sum(F.octet_length("raw").cast("bigint")), F.lit(0)).alias("bytes")
     parsed = parse_feed(feed).drop("address")
-    parsed.observe(seen, size).write.mode("overwrite").parquet(path)
+    parsed.observe(seen, size).write.mode("overwrite").options(
+        **table_options("raw", "offset")
+    ).parquet(path)
     return seen.get["bytes"]
 
 

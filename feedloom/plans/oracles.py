@@ -99,9 +99,9 @@ def _generate() -> str:
 drawn AS (SELECT id, {digest("n")} AS n, {digest("a")} AS a FROM ids),
 spread AS (SELECT *, CAST('0x' || substr(a, 50, 15) AS BIGINT) AS s FROM drawn),
 made AS (SELECT id,
-  substr(translate(to_base64(unhex(n)), '0123456789+/=', '') || '{LETTERS}',
+  substr(regexp_replace(substr(to_base64(unhex(n)), 1, 42), '[0-9+/]', '', 'g') || '{LETTERS}',
     1, CAST(s % 6 + 10 AS INTEGER)) AS name,
-  substr(translate(to_base64(unhex(a)), '+/=', ' ') || '{ADDRESS_CHARACTERS}',
+  substr(replace(replace(substr(to_base64(unhex(a)), 1, 42), '+', ' '), '/', '') || '{ADDRESS_CHARACTERS}',
     1, CAST((s // 6) % 6 + 15 AS INTEGER)) AS address,
   {_CONTINENT_LIST}[(s // 36) % 6 + 1] AS continent FROM spread)
 SELECT id, name, address, continent, concat_ws(',', id, name, address, continent) AS value FROM made"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.contract import FEED_COLUMNS, sort_columns
 from feedloom.operators.ordering import in_order
+from feedloom.operators.sizing import table_options
 
 
 def write_feed(feed: DataFrame, path: str, records_per_file: int = 0) -> None:
@@ -14,7 +15,7 @@ def write_feed(feed: DataFrame, path: str, records_per_file: int = 0) -> None:
     (
         feed.select(*FEED_COLUMNS)
         .write.mode("overwrite")
-        .option("compression", "snappy")
+        .options(**table_options("value", "offset"))
         .option("maxRecordsPerFile", records_per_file)
         .parquet(path)
     )
@@ -47,7 +48,7 @@ def write_runs(runs: DataFrame, path: str) -> None:
         runs.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
-        .option("compression", "snappy")
+        .options(**table_options("raw", "offset", "pos_in_run"))
         .partitionBy("key", "partition")
         .parquet(path)
     )

@@ -12,9 +12,8 @@ from feedloom.functions.lines import format_line
 NAME_LENGTHS = (10, 15)
 ADDRESS_LENGTHS = (15, 20)
 
-# The 64 digits of base64 less those that are not letters; a plus becomes the blank.
-NOT_LETTERS = "0123456789+/="
-NOT_ADDRESS = ("+/=", " ")
+# Of the 43 base64 digits of a digest the last one holds less than 6 bits.
+WHOLE_DIGITS = 42
 
 
 def _digest(seed: int, salt: str) -> Column:
@@ -22,13 +21,22 @@ def _digest(seed: int, salt: str) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"), F.lit(salt)), 256)
 
 
-def _letters(digest: Column, drop: str, put: str, spare: str) -> Column:
-    """Characters drawn by rejection: digits outside the alphabet are left out.
+def _base64(digest: Column) -> Column:
+    return F.substring(F.base64(F.unhex(digest)), 1, WHOLE_DIGITS)
 
-    Of 43 digits about 35 are letters. Should there ever be too few, the alphabet
-    itself follows.
+
+def _name_characters(digest: Column) -> Column:
+    """Letters drawn by rejection: base64 digits that are not letters are left out.
+
+    Some 34 are left. Should they ever be too few, the alphabet itself follows.
     """
-    return F.concat(F.translate(F.base64(F.unhex(digest)), drop, put), F.lit(spare))
+    return F.concat(F.regexp_replace(_base64(digest), "[0-9+/]", ""), F.lit(LETTERS))
+
+
+def _address_characters(digest: Column) -> Column:
+    """Likewise for 63 characters: a plus stands for the blank, a slash is left out."""
+    spaced = F.replace(_base64(digest), F.lit("+"), F.lit(" "))
+    return F.concat(F.replace(spaced, F.lit("/"), F.lit("")), F.lit(ADDRESS_CHARACTERS))
 
 
 def _draw(number: Column, nth: int, choices: int) -> Column:
@@ -41,8 +49,7 @@ def records_for(ids: DataFrame, seed: int = 0) -> DataFrame:
     drawn = ids.select("id", _digest(seed, "n").alias("n"), _digest(seed, "a").alias("a"))
     # The end of the second digest, none of which goes into the address.
     drawn = drawn.withColumn("s", F.conv(F.substring("a", 50, 15), 16, 10).cast("bigint"))
-    name = _letters(F.col("n"), NOT_LETTERS, "", LETTERS)
-    address = _letters(F.col("a"), *NOT_ADDRESS, ADDRESS_CHARACTERS)
+    name, address = _name_characters(F.col("n")), _address_characters(F.col("a"))
     fields = drawn.select(
         "id",
         F.substring(name, F.lit(1), _draw(F.col("s"), 1, names) + NAME_LENGTHS[0]).alias("name"),

@@ -31,6 +31,10 @@ def duck_rows(connection, sql: str) -> tuple[list[str], Counter]:
     return [names[i] for i in order], rows
 
 
+def duck_types(connection, sql: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+
+
 def spark_rows(frame) -> tuple[list[str], Counter]:
     names = sorted(frame.columns)
     return names, Counter(tuple(row) for row in frame.select(*names).collect())

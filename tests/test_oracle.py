@@ -3,10 +3,14 @@
 import os
 
 import pytest
-from compare import duck, duck_rows, spark_rows
+from compare import duck, duck_rows, duck_types, spark_rows
 
 import __spark_entry__ as entry_module
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
@@ -21,7 +25,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(entry_module.queries()))
 def test_query_equals_oracle(spark, connection, name):
-    names, rows = spark_rows(entry_module.queries()[name](spark, SF_DIR))
+    frame = entry_module.queries()[name](spark, SF_DIR)
+    types = {column: TYPES[kind] for column, kind in frame.dtypes}
+    assert types == duck_types(connection, entry_module.oracle_sql()[name])
+    names, rows = spark_rows(frame)
     oracle_names, oracle_rows = duck_rows(connection, entry_module.oracle_sql()[name])
     assert names == oracle_names
     assert rows and sum(rows.values()) == sum(oracle_rows.values())
