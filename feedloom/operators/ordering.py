@@ -45,9 +45,12 @@ def store_ordering(
     """Write ``records`` in the order of ``key``, one file sequence per sorted partition.
 
     ``path/rows`` holds the rows, ``path/buckets`` the rows per sorted partition.
-    The latter is written last: an ordering without it is not finished.
+    The latter is emptied first and written last: rows without their bucket are not
+    finished, and reading them is an error, also when an older ordering was there.
     """
     spark = records.sparkSession
+    sort_columns(key)
+    spark.createDataFrame([], BUCKETS).write.mode("overwrite").parquet(f"{path}/buckets")
     # What the sort does not need is not carried through the shuffle: the line has it.
     lean = records.select("raw", *sort_columns(key))
     (
@@ -83,7 +86,7 @@ def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
     buckets = _read_buckets(spark, path)
     holder = buckets.filter(F.col("before") < n).orderBy(F.desc("before")).first()
     if holder is None:
-        return read_ordering(spark, path).limit(0).drop("bucket")
+        return read_ordering(spark, path).filter(F.col("pos") <= n).drop("bucket")
     last = (holder["bucket"] << ROW_BITS) + n - holder["before"] - 1
     return _with_pos(_read_rows(spark, path).filter(F.col("slot") <= last), buckets).drop("bucket")
 
@@ -102,10 +105,11 @@ def _read_buckets(spark: SparkSession, path: str) -> DataFrame:
 
 def _with_pos(rows: DataFrame, buckets: DataFrame) -> DataFrame:
     row_in_bucket = F.col("slot").bitwiseAND((1 << ROW_BITS) - 1)
-    pos = (F.col("before") + row_in_bucket + 1).cast("bigint")
+    unfinished = F.raise_error(F.lit("this ordering is not finished")).cast("bigint")
+    pos = (F.coalesce("before", unfinished) + row_in_bucket + 1).cast("bigint")
     return (
         rows.withColumn("bucket", _bucket())
-        .join(buckets, "bucket")
+        .join(buckets, "bucket", "left")
         .select(pos.alias("pos"), *CONTENT, "bucket")
     )
 

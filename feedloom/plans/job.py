@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.contract import SORT_KEYS, sort_columns
-from feedloom.operators import accounting, verify
+from feedloom.operators import accounting, arrival, verify
 from feedloom.operators.intake import parse_feed
 from feedloom.operators.ordering import keyed, read_ordering, store_ordering
 from feedloom.operators.sizing import ranges_for, table_options
@@ -38,29 +38,45 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select("raw", "partition", "offset", "error")
 
 
+def bounded(records: DataFrame, max_records: int = 0, idle_seconds: int | None = None) -> DataFrame:
+    """Records up to each partition's first long silence, and at most so many of them."""
+    if idle_seconds is not None:
+        records = accounting.idle_cut(records, idle_seconds)
+    return arrival.cap_per_partition(records, max_records)
+
+
 def store_orderings(
     records: DataFrame, path: str, keys: tuple[str, ...] = SORT_KEYS, ranges: int | None = None
 ) -> dict[str, str]:
     """One stored ordering per key; returns where.
 
-    The sorts are submitted together, so the stragglers of one do not leave the
-    cluster idle. A failed one fails the call.
+    Small inputs are sorted by all keys together, so that no executor waits for the
+    stragglers of one sort. Inputs that need more ``ranges`` than the session's
+    shuffle width fill the cluster by themselves and go one after the other: else the
+    shuffle files of all sorts would need disk space at once. A failed sort fails
+    the call.
     """
     for key in keys:
         sort_columns(key)
     paths = {key: f"{path}/key={key}" for key in keys}
-    with ThreadPoolExecutor(max_workers=len(keys)) as pool:
+    with ThreadPoolExecutor(max_workers=len(keys) if ranges is None else 1) as pool:
         jobs = [pool.submit(store_ordering, records, key, paths[key], ranges) for key in keys]
-        for job in jobs:
-            job.result()
+        for done in jobs:
+            done.result()
     return paths
 
 
-def order_feed(feed: DataFrame, path: str, keys: tuple[str, ...] = SORT_KEYS) -> dict[str, str]:
+def order_feed(
+    feed: DataFrame,
+    path: str,
+    keys: tuple[str, ...] = SORT_KEYS,
+    max_records: int = 0,
+    idle_seconds: int | None = None,
+) -> dict[str, str]:
     """Parse a feed once and store every ordering of it under ``path``."""
     spark = feed.sparkSession
     raw_bytes = store_parsed(feed, f"{path}/parsed")
-    records = read_valid(spark, f"{path}/parsed")
+    records = bounded(read_valid(spark, f"{path}/parsed"), max_records, idle_seconds)
     return store_orderings(records, path, keys, ranges_for(spark, raw_bytes))
 
 
@@ -70,16 +86,33 @@ def three_orderings(feed: DataFrame, path: str) -> DataFrame:
     return keyed({key: read_ordering(feed.sparkSession, p) for key, p in paths.items()})
 
 
-def report(spark: SparkSession, path: str, keys: tuple[str, ...] = SORT_KEYS) -> dict[str, DataFrame]:
-    """What to check after ``order_feed``: intake, delivery and sortedness."""
+def report(
+    spark: SparkSession,
+    path: str,
+    keys: tuple[str, ...] = SORT_KEYS,
+    max_records: int = 0,
+    idle_seconds: int | None = None,
+) -> dict[str, DataFrame]:
+    """What to check after ``order_feed`` with the same settings."""
     orderings = {key: read_ordering(spark, f"{path}/key={key}") for key in keys}
+    records = bounded(read_valid(spark, f"{path}/parsed"), max_records, idle_seconds)
     return {
         "intake": accounting.intake_stats(spark.read.parquet(f"{path}/parsed")),
-        "delivery": accounting.reconcile(
-            read_valid(spark, f"{path}/parsed"), keyed(orderings), keys
-        ),
+        "delivery": accounting.reconcile(records, keyed(orderings), keys),
         **{
             f"sorted_by_{key}": verify.sortedness(stored, key, chunk=F.col("bucket"))
             for key, stored in orderings.items()
         },
     }
+
+
+def check(reports: dict[str, DataFrame]) -> None:
+    """Raise unless every ordering is complete and in order."""
+    wrong = [row["key"] for row in reports["delivery"].filter(~F.col("contents_match")).collect()]
+    if wrong:
+        raise RuntimeError(f"produced and delivered records differ for {sorted(wrong)}")
+    for name, checked in reports.items():
+        if name.startswith("sorted_by_"):
+            row = checked.first()
+            if not row["is_sorted"]:
+                raise RuntimeError(f"not {name}: first fall at position {row['first_bad_pos']}")

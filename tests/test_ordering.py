@@ -123,11 +123,25 @@ def test_head_is_a_top_n_not_a_sort(spark):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
-def test_unfinished_ordering_cannot_be_read(spark, tmp_path):
-    records = valid_records(messy_feed(spark, 50))
-    records.write.parquet(f"{tmp_path}/rows")
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        ordering.read_ordering(spark, str(tmp_path)).collect()
+def test_unfinished_ordering_cannot_be_read(spark, tmp_path, monkeypatch):
+    """Neither the first at a place nor one that replaces an older one."""
+    records, path = valid_records(messy_feed(spark, 50)), str(tmp_path)
+
+    def broken(*_):
+        raise RuntimeError("lost the driver")
+
+    ordering.store_ordering(records, "id", path)
+    assert ordering.read_ordering(spark, path).count() == records.count()
+    monkeypatch.setattr(ordering, "_bucket", broken)
+    with pytest.raises(RuntimeError, match="lost the driver"):
+        ordering.store_ordering(records.limit(10), "id", path)
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="not finished"):
+        ordering.read_ordering(spark, path).collect()
+    with pytest.raises(Exception, match="not finished"):
+        ordering.read_head(spark, path).collect()
+    ordering.store_ordering(records, "id", path)
+    assert positions(ordering.read_ordering(spark, path)) == expected_order(records, "id")
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 100, 1_000_000])

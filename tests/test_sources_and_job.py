@@ -155,3 +155,48 @@ def test_scratch_without_a_setting(spark):
     assert scratch.shared_folder(local) == scratch.shared_folder(local) == local.sparkContext.folder
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.shared_folder(Session("spark://host:1"))
+
+
+def test_limits_of_the_job(spark, tmp_path):
+    lines = [f"{i},n{i % 3},a,c" for i in range(60)]
+    feed = feed_of(spark, lines, 2).withColumn(
+        "timestamp", F.when(F.col("offset") >= 20, F.col("timestamp") + F.expr("interval 1 hour"))
+        .otherwise(F.col("timestamp")))
+    for limits, n in (((0, None), 60), ((7, None), 14), ((0, 600), 40), ((25, 600), 40), ((5, 600), 10)):
+        paths = job.order_feed(feed, str(tmp_path), ("name",), *limits)
+        assert ordering.read_ordering(spark, paths["name"]).count() == n
+        job.check(job.report(spark, str(tmp_path), ("name",), *limits))
+
+
+def test_large_inputs_are_sorted_one_key_after_the_other(spark, tmp_path):
+    records = valid_records(messy_feed(spark, 400))
+    paths = job.store_orderings(records, str(tmp_path), ranges=11)
+    for key in SORT_KEYS:
+        assert positions(ordering.read_ordering(spark, paths[key])) == expected_order(records, key)
+
+
+def test_check_raises_for_wrong_results(spark, tmp_path):
+    paths = job.order_feed(messy_feed(spark, 200), str(tmp_path), ("name",))
+    good = job.report(spark, str(tmp_path), ("name",))
+    job.check(good)
+    other = valid_records(messy_feed(spark, 200, seed=2))
+    ordering.store_ordering(other, "name", paths["name"])
+    with pytest.raises(RuntimeError, match="differ for"):
+        job.check(job.report(spark, str(tmp_path), ("name",)))
+    fresh = job.report(spark, str(tmp_path), ("name",))
+    shuffled = fresh["sorted_by_name"].withColumn("is_sorted", F.lit(False))
+    with pytest.raises(RuntimeError, match="first fall"):
+        job.check({"delivery": fresh["delivery"].limit(0), "sorted_by_name": shuffled})
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import main
+
+    main.run(spark, main.arguments(["--generate", "500", "--out", str(tmp_path), "--keys", "id", "name"]))
+    printed = capsys.readouterr().out
+    assert "sorted_by_name" in printed and "first records by id" in printed
+    main.run(spark, main.arguments(["--feed", f"{tmp_path}/feed", "--out", f"{tmp_path}/again", "--max-records", "3"]))
+    assert ordering.read_ordering(spark, f"{tmp_path}/again/key=continent").count() == 12
+    for wrong in (["--out", "x"], ["--topic", "t", "--out", "x"], ["--feed", "f", "--out", "x", "--keys", "z"]):
+        with pytest.raises(SystemExit):
+            main.arguments(wrong)
