@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 # A summary of at most this many narrow rows is worth sending to every task.
 MAX_BROADCAST_ROWS = 100_000
 
-# Aim for shuffle partitions of this many bytes of raw lines.
-BYTES_PER_RANGE = 256 * 1024 * 1024
+# Aim for sorted partitions of this many bytes of raw lines. They sort with spills in
+# a few GB of memory, and 100 TB come to some 50,000 of them: more would make the
+# blocks between map and reduce tasks tiny, and leave Spark's sample of at most a
+# million keys too few per range to cut ranges of like size.
+BYTES_PER_RANGE = 2 * 1024**3
 
 
 def with_summary(rows: DataFrame, summary: DataFrame, on: list[str], how: str) -> DataFrame:

@@ -71,6 +71,9 @@ def intake_sessions(feed: DataFrame, idle_seconds: int, lateness: str = "0 secon
 
     The first session of a partition ends where its intake would be cut. A session
     comes out once the watermark has passed its end, so open ones are not shown.
+    Start the query with ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``
+    on: rows are then merged into sessions before the shuffle, and a heavy partition
+    costs its task only a few of them.
     """
     return (
         valid_records(feed)

@@ -215,4 +215,4 @@ def test_messages_hold_ranges_in_order(spark):
 def test_wide_sorts_get_their_own_number_of_ranges(spark):
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert ranges_for(spark, 1000) is None
-    assert ranges_for(spark, 100 * 1024**4) == 409_600 > width
+    assert ranges_for(spark, 100 * 1024**4) == 51_200 > width

@@ -71,7 +71,8 @@ def test_failure_in_a_batch_fails_the_drain(spark, tmp_path):
         drain.drain_feed(stream_feed(spark, f"{tmp_path}/feed"), f"{tmp_path}/blocked", f"{tmp_path}/c2")
 
 
-def test_sessions_end_at_silences(spark, tmp_path):
+@pytest.mark.parametrize("local", ["true", "false"])
+def test_sessions_end_at_silences(spark, tmp_path, local):
     """Closed spells come out; a late row moves the watermark past them."""
     lines = [f"{i},n,a,c" for i in range(3)]
     early, late = feed_of(spark, lines, seconds=5), feed_of(spark, ["9,n,a,c"]).withColumn(
@@ -79,11 +80,14 @@ def test_sessions_end_at_silences(spark, tmp_path):
     for number, part in enumerate((early, late)):
         write_feed(part.withColumn("offset", F.col("offset") + number * 100), f"{tmp_path}/feed/part={number}")
     stream = spark.readStream.schema(FEED_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/feed")
+    setting = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    spark.conf.set(setting, local)
     query = (
         drain.intake_sessions(stream, 60).writeStream.format("memory").queryName("spells")
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    spark.conf.unset(setting)
     rows = spark.table("spells").collect()
     assert [(r["partition"], r["records"]) for r in rows] == [(0, 3)]
     assert (rows[0]["last_at"] - rows[0]["first_at"]).total_seconds() == 10
