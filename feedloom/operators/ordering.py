@@ -1,11 +1,10 @@
 """Total orders of records, stored once and read with explicit positions.
 
-``store_ordering`` sorts with one range shuffle and stamps each row with
-``monotonically_increasing_id``: the number of the sorted partition in the upper
-bits, the row within it in the lower ones. The stamp is written with the rows, so
-it can never disagree with a second evaluation of the sort. A second small table
-counts the rows per sorted partition; joined to it, the stamp becomes the dense
-position 1..n without another shuffle or a single-task window.
+``store_ordering`` sorts with one range shuffle and stamps each row with its place:
+the number of the sorted partition, ``bucket``, and the number of the row in it. The
+place is written with the rows, so it can never disagree with a second evaluation of
+the sort. A second small table counts the rows per bucket; joined to it, the place
+becomes the dense position 1..n without another shuffle or a single-task window.
 """
 
 from __future__ import annotations
@@ -20,17 +19,13 @@ from feedloom.contract import HEAD_SIZE, sort_columns
 from feedloom.functions import lines
 from feedloom.operators.sizing import table_options
 
-# How monotonically_increasing_id is laid out: 33 low bits for the row.
-ROW_BITS = 33
+# monotonically_increasing_id counts the rows of a partition in its 33 low bits.
+ROW_MASK = (1 << 33) - 1
 
 BUCKETS = "bucket INT, n BIGINT, before BIGINT"
 CONTENT = ("raw", "id", "name", "continent", "partition", "offset")
 
 
-def _bucket():
-    return F.shiftright("slot", ROW_BITS).cast("int").alias("bucket")
-
-
 def in_order(records: DataFrame, key: str, ranges: int | None = None) -> DataFrame:
     """Records sorted by ``key``; ``ranges`` fixes the number of sorted partitions."""
     columns = sort_columns(key)
@@ -50,20 +45,30 @@ def store_ordering(
     """
     spark = records.sparkSession
     sort_columns(key)
-    spark.createDataFrame([], BUCKETS).write.mode("overwrite").parquet(f"{path}/buckets")
+    _write_buckets(spark.range(0).select(F.col("id").cast("int").alias("bucket")), path)
     # What the sort does not need is not carried through the shuffle: the line has it.
     lean = records.select("raw", *sort_columns(key))
+    place = {
+        "bucket": F.spark_partition_id(),
+        "row": F.monotonically_increasing_id().bitwiseAND(ROW_MASK),
+    }
     (
         in_order(lean, key, ranges)
-        .select(F.monotonically_increasing_id().alias("slot"), "*")
-        .write.mode("overwrite").options(**table_options("slot", "raw", "offset")).parquet(f"{path}/rows")
+        .select(*[column.alias(name) for name, column in place.items()], "*")
+        .write.mode("overwrite").options(**table_options("row", "raw", "offset")).parquet(f"{path}/rows")
     )
-    counts = spark.read.parquet(f"{path}/rows").groupBy(_bucket()).agg(F.count("*").alias("n"))
-    # One row per sorted partition, so one task can sum them up.
+    _write_buckets(spark.read.schema("bucket INT").parquet(f"{path}/rows"), path)
+
+
+def _write_buckets(rows: DataFrame, path: str) -> None:
+    """Count rows per bucket, reading nothing but that column, a constant in each file.
+
+    There is one bucket per sorted partition, so one task can sum up the counts.
+    """
     before = F.sum("n").over(Window.orderBy("bucket")) - F.col("n")
     (
-        counts.select("bucket", "n", before.alias("before"))
-        .coalesce(1)
+        rows.groupBy("bucket").agg(F.count("*").alias("n"))
+        .select("bucket", "n", before.alias("before"))
         .write.mode("overwrite").parquet(f"{path}/buckets")
     )
 
@@ -80,15 +85,18 @@ def read_ordering(spark: SparkSession, path: str) -> DataFrame:
 def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
     """The first ``n`` rows of a stored ordering.
 
-    Stamps grow with positions, so the bucket table tells the stamp of the n-th
-    row, and the scan skips all row groups beyond it.
+    The bucket table tells the place of the n-th row, and the scan skips all row
+    groups beyond it.
     """
     buckets = _read_buckets(spark, path)
     holder = buckets.filter(F.col("before") < n).orderBy(F.desc("before")).first()
     if holder is None:
         return read_ordering(spark, path).filter(F.col("pos") <= n).drop("bucket")
-    last = (holder["bucket"] << ROW_BITS) + n - holder["before"] - 1
-    return _with_pos(_read_rows(spark, path).filter(F.col("slot") <= last), buckets).drop("bucket")
+    bucket, row = F.col("bucket"), F.col("row")
+    in_head = (bucket < holder["bucket"]) | (
+        (bucket == holder["bucket"]) & (row < n - holder["before"])
+    )
+    return _with_pos(_read_rows(spark, path).filter(in_head), buckets).drop("bucket")
 
 
 def _read_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -104,14 +112,9 @@ def _read_buckets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _with_pos(rows: DataFrame, buckets: DataFrame) -> DataFrame:
-    row_in_bucket = F.col("slot").bitwiseAND((1 << ROW_BITS) - 1)
     unfinished = F.raise_error(F.lit("this ordering is not finished")).cast("bigint")
-    pos = (F.coalesce("before", unfinished) + row_in_bucket + 1).cast("bigint")
-    return (
-        rows.withColumn("bucket", _bucket())
-        .join(buckets, "bucket", "left")
-        .select(pos.alias("pos"), *CONTENT, "bucket")
-    )
+    pos = (F.coalesce("before", unfinished) + F.col("row") + 1).cast("bigint")
+    return rows.join(buckets, "bucket", "left").select(pos.alias("pos"), *CONTENT, "bucket")
 
 
 def sorted_by(records: DataFrame, key: str, ranges: int | None = None) -> DataFrame:

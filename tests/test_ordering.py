@@ -127,12 +127,17 @@ def test_unfinished_ordering_cannot_be_read(spark, tmp_path, monkeypatch):
     """Neither the first at a place nor one that replaces an older one."""
     records, path = valid_records(messy_feed(spark, 50)), str(tmp_path)
 
-    def broken(*_):
-        raise RuntimeError("lost the driver")
+    write_buckets, calls = ordering._write_buckets, []
+
+    def broken(rows, where):
+        calls.append(where)
+        if len(calls) > 1:
+            raise RuntimeError("lost the driver")
+        write_buckets(rows, where)
 
     ordering.store_ordering(records, "id", path)
     assert ordering.read_ordering(spark, path).count() == records.count()
-    monkeypatch.setattr(ordering, "_bucket", broken)
+    monkeypatch.setattr(ordering, "_write_buckets", broken)
     with pytest.raises(RuntimeError, match="lost the driver"):
         ordering.store_ordering(records.limit(10), "id", path)
     monkeypatch.undo()
