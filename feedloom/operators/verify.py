@@ -36,15 +36,19 @@ def sortedness(
     )
     inside = Window.partitionBy(*groups, "chunk").orderBy("at")
     per_chunk = (
-        narrow.withColumn("falls", F.lag("k").over(inside) > F.col("k"))
+        narrow.withColumns({
+            "falls": F.lag("k").over(inside) > F.col("k"),
+            "opens": F.lag("at").over(inside).isNull(),
+            "closes": F.lead("at").over(inside).isNull(),
+        })
         .groupBy(*groups, "chunk")
         .agg(
             F.count("*").alias("n"),
             F.count_if("falls").alias("falls"),
             F.min(F.when(F.col("falls"), F.col("at"))).alias("first_fall"),
             F.min("at").alias("start"),
-            F.min_by("k", "at").alias("first_key"),
-            F.max_by("k", "at").alias("last_key"),
+            F.max(F.when(F.col("opens"), F.col("k"))).alias("first_key"),
+            F.max(F.when(F.col("closes"), F.col("k"))).alias("last_key"),
         )
     )
     seam = F.lag("last_key").over(Window.partitionBy(*groups).orderBy("chunk")) > F.col("first_key")
