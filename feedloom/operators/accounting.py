@@ -133,9 +133,12 @@ def idle_cuts(records: DataFrame, idle_seconds: int) -> DataFrame:
 
 
 def idle_cut(records: DataFrame, idle_seconds: int) -> DataFrame:
-    """The records of each partition before its first silence longer than the timeout."""
+    """The records of each partition before its first silence longer than the timeout.
+
+    A record without a timestamp says nothing about silences and stays.
+    """
     cuts = idle_cuts(records, idle_seconds)
-    before_cut = F.col("cut_micros").isNull() | (F.unix_micros("timestamp") < F.col("cut_micros"))
+    before_cut = F.coalesce(F.unix_micros("timestamp") < F.col("cut_micros"), F.lit(True))
     return (
         with_summary(records, cuts, ["partition"], "left")
         .filter(before_cut)

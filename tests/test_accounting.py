@@ -81,6 +81,13 @@ def test_idle_cut_takes_each_partition_by_itself(spark, monkeypatch):
         assert {r["partition"]: r["count"] for r in counts} == {0: 1, 1: 3, 2: 1}
 
 
+def test_records_without_a_timestamp_stay(spark):
+    records = at(spark, [0, 5, 50])
+    timeless = at(spark, [1]).withColumn("timestamp", F.lit(None).cast("timestamp"))
+    kept = accounting.idle_cut(records.unionByName(timeless), 10).collect()
+    assert sorted(str(r["timestamp"])[-8:] for r in kept) == ["00:00:00", "00:00:05", "None"]
+
+
 def test_malformed_rows_do_not_restart_the_clock(spark):
     feed = feed_of(spark, ["1,a,b,c", "broken", "broken", "2,a,b,c"], seconds=6)
     assert [r["id"] for r in accounting.idle_cut(valid_records(feed), 10).collect()] == [1]
