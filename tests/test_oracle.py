@@ -6,6 +6,7 @@ import pytest
 from compare import duck, duck_rows, duck_types, spark_rows
 
 import __spark_entry__ as entry_module
+from feedloom.plans.queries import all_queries
 
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
@@ -20,10 +21,11 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(all_queries()) <= set(entry_module.oracle_sql())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
 def test_query_equals_oracle(spark, connection, name):
     frame = entry_module.queries()[name](spark, SF_DIR)
     types = {column: TYPES[kind] for column, kind in frame.dtypes}
