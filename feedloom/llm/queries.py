@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import byte_bpe, chat, exact_dedup, fingerprints, langid, licenses, mixing, pii, toxicity
+from feedloom.llm import byte_bpe, chat, exact_dedup, fingerprints, jaccard_join, langid, licenses, mixing, pii, toxicity
 from feedloom.llm.common import crc_mod, table
 
 
@@ -64,6 +64,12 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", "lang",
