@@ -14,9 +14,13 @@ prefixes nearly always end. What is left of a short class is filled by hash.
 3. The others come again with their whole sets; the second order is made of them, and
    documents without a shared prefix shingle there are done, too.
 4. Links join documents to components. Where many documents share a prefix shingle, not
-   all pairs are looked at: every document is compared with a hub of its shingle first,
-   in two rounds; then all pairs that share a shingle, but not yet a component, are. Pairs
-   in one component change nothing, so no link between components is lost.
+   all pairs are looked at: the documents of a shingle are compared with a hub first, the
+   one with the smallest share of shingles of its own, which is nearest to what copies
+   have in common; then with the next such one, and so on while that leaves much less to
+   do. Then all pairs that share a shingle, but not yet a component, are candidates. Pairs
+   in one component change nothing, so no link between components is lost. These pairs
+   pass a bitmap first: sets differ in at least as many shingles as the parities of their
+   shingles by BITS hash values do. Each is made at its first common shingle only.
 
 A shingle that many documents of one Arrow batch share is sent once for the batch, with
 their list, so a hot shingle has a row for each batch and not for each document. Shingle
@@ -47,6 +51,10 @@ WORDS = 5
 SIMILAR = 75
 #: Hash classes out of CLASSES that come first in an order.
 CLASSES, FIRST = 8, 3
+#: Length of the parity bitmap, a power of two of 64 at least.
+BITS = 512
+#: More hubs are tried while more than so many pairs for a member of a token are left.
+FEW_PAIRS = 4
 CACHED_WORDS = 500_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -168,8 +176,15 @@ def _combined(held: dict[tuple[int, int], np.ndarray]) -> Iterator[pa.RecordBatc
     yield from (whole.slice(i, 50_000) for i in range(0, whole.num_rows, 50_000))
 
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """For each hash value below BITS the parity of its shingles, as 64-bit words."""
+    place = (values.view(np.uint64) >> np.uint64(65 - BITS.bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """cls, size, tokens, second (emitted under the second order), each class once a batch."""
+    """cls, size, tokens, second (emitted under the second order) and bits, each class once
+    a batch."""
     hashed = _WordHash()
     for batch in sliced(batches):
         made = {}
@@ -182,8 +197,9 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 *(pa.array([key[i] for key in made], pa.int64()) for i in (0, 1)),
                 pa.array(list(made.values()), longs),
                 pa.array([emitted(values, 1) for values in made.values()], longs),
+                pa.array([parities(values) for values in made.values()], longs),
             ],
-            ["cls", "size", "tokens", "second"],
+            ["cls", "size", "tokens", "second", "bits"],
         )
 
 
@@ -199,7 +215,8 @@ def _rank(order: int, token: Column, frequency: Column) -> Column:
 
 
 def _prefixes(shared: DataFrame, order: int) -> DataFrame:
-    """node, prefix: the shared shingles of each node's prefix.
+    """node, lone, prefix: the shared shingles of each node's prefix, and the share of those
+    it emits that it has alone.
 
     ``shared``: node, m (how many it emits), token, frequency of the emitted shingles that
     several nodes have. Those of one node only take the first places of its prefix.
@@ -211,7 +228,7 @@ def _prefixes(shared: DataFrame, order: int) -> DataFrame:
     return (
         shared.groupBy("node")
         .agg(F.sort_array(ranks).alias("ranks"), F.first("m").alias("m"))
-        .select("node", F.slice(
+        .select("node", (1 - F.size("ranks") / F.col("m")).alias("lone"), F.slice(
             F.transform("ranks", lambda r: r["token"]), F.lit(1), F.greatest(places, F.lit(0)).cast("int")
         ).alias("prefix"))
         .where("size(prefix) > 0")
@@ -294,46 +311,71 @@ def components(links: DataFrame, label: str = "jaccard-labels") -> DataFrame:
             return parts
 
 
-def _with_parts(members: DataFrame, parts: DataFrame) -> DataFrame:
-    return members.join(parts, "node", "left").select(
-        "token", "node", F.coalesce("part", "node").alias("part")
-    )
-
+def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, part: the components that similar members (token, node, rank) of a token make.
 
-def _linked(members: DataFrame, second: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, part: the components that similar members (token, node) of a token make."""
-    links = parts = None
-    for turn in range(3):
-        if parts is None:
-            now = members.select("token", "node", F.col("node").alias("part"))
-        else:
-            now = _with_parts(members, parts)
-        # Tokens whose members are one component already have nothing to tell.
-        if turn < 2:
-            hub = F.min("node") if turn == 0 else F.max("node")
-            of_token = now.groupBy("token").agg(
-                hub.alias("hub"), F.min("part").alias("low"), F.max("part").alias("high"),
-                (F.min_by("part", "node") if turn == 0 else F.max_by("part", "node")).alias("hub_part"),
-            ).where("low < high")
-            pairs = now.join(of_token, "token").where("part != hub_part").select(
-                F.col("node").alias("a"), F.col("hub").alias("b")
-            )
-        else:
-            sizes = now.groupBy("token", "part").agg(F.count(F.lit(1)).alias("n"))
-            main = sizes.groupBy("token").agg(
-                F.max_by("part", F.struct("n", "part")).alias("main"), F.count(F.lit(1)).alias("parts")
-            ).where("parts > 1")
-            left = now.join(main, "token").where("part != main")
-            pairs = left.select("token", F.col("node").alias("x"), F.col("part").alias("part_x")).join(
-                now.select("token", F.col("node").alias("y"), F.col("part").alias("part_y")), "token"
-            ).where("part_x != part_y").where(_fits(F.col("x"), F.col("y"))).select(
-                F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-            )
-        pairs = stored(pairs.where(_fits(F.col("a"), F.col("b"))).distinct(), f"jaccard-pairs{turn}")
-        found = stored(_verified(pairs, second, sets), f"jaccard-links{turn}")
-        links = found if links is None else links.unionByName(found)
-        parts = components(links)
-    return parts
+    ``rank`` orders the members of a token as hubs.
+    """
+    links, parts = None, None
+    now = members.withColumn("part", F.col("node"))
+    hubs = now.groupBy("token").agg(F.min(F.struct("rank", "node", "part")).alias("hub"))
+    work = None
+    while True:
+        pairs = now.join(hubs, "token").where(F.col("part") != F.col("hub.part")).select(
+            F.col("node").alias("a"), F.col("hub.node").alias("b")
+        )
+        links, parts = _add_links(links, pairs, second, sets)
+        now = stored(
+            members.join(parts, "node", "left")
+            .select("token", "node", "rank", F.coalesce("part", "node").alias("part")),
+            "jaccard-members",
+        )
+        # The largest component of each token, and how many members are outside of it.
+        main = now.groupBy("token", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
+            F.max_by("part", F.struct("n", "part")).alias("main"),
+            F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("outside"),
+        ).where("outside > 0")
+        main = stored(main, "jaccard-main")
+        left = main.agg(F.sum(F.col("outside") * F.col("all")), F.sum("all")).first()
+        before, work = work, left[0] or 0
+        if work <= FEW_PAIRS * (left[1] or 0) or before is not None and work > 0.8 * before:
+            break
+        used = hubs.select("token", F.struct("hub.rank", "hub.node").alias("used"))
+        hubs = (
+            now.join(main.select("token"), "token", "left_semi").join(used, "token")
+            .where(F.struct("rank", "node") > F.col("used"))
+            .groupBy("token").agg(F.min(F.struct("rank", "node", "part")).alias("hub"))
+        )
+        hubs = stored(hubs, "jaccard-hubs")
+    words = [F.col("bits")[i].alias(f"bits{i}") for i in range(BITS // 64)]
+    known = first.select("node", "prefix").join(sets.select("node", *words), "node")
+    detail = stored(
+        now.join(main.select("token", "main"), "token").join(known, "node"), "jaccard-cross"
+    )
+    x, y = (detail.select([F.col(c).alias(f"{c}_{side}") for c in detail.columns]) for side in "xy")
+    differ = sum(
+        F.bit_count(F.col(f"bits{i}_x").bitwiseXOR(F.col(f"bits{i}_y"))) for i in range(BITS // 64)
+    )
+    both = F.shiftright(F.col("node_x.size"), 32) + F.shiftright(F.col("node_y.size"), 32)
+    pairs = x.where("part_x != main_x").join(
+        y,
+        (F.col("token_x") == F.col("token_y")) & (F.col("part_x") != F.col("part_y"))
+        & ((F.col("part_y") == F.col("main_y")) | (F.col("node_x") < F.col("node_y")))
+        & _fits(F.col("node_x"), F.col("node_y"))
+        & (both * (100 - SIMILAR) >= differ * (100 + SIMILAR))
+        & (F.array_min(F.array_intersect("prefix_x", "prefix_y")) == F.col("token_x")),
+    ).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
+    return _add_links(links, pairs, second, sets)[1]
+
+
+def _add_links(
+    links: DataFrame | None, pairs: DataFrame, second: DataFrame, sets: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """All links with those among the pairs, and the components they make."""
+    pairs = stored(pairs.where(_fits(F.col("a"), F.col("b"))).distinct(), "jaccard-pairs")
+    found = stored(_verified(pairs, second, sets), "jaccard-links")
+    links = found if links is None else links.unionByName(found)
+    return links, components(links)
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -345,9 +387,9 @@ def groups(docs: DataFrame) -> DataFrame:
         rows.mapInArrow(_sets, "doc_id long, key long, cls long, size long, n long"), "jaccard-sets"
     )
     first = stored(_first_prefixes(rows.select("text")), "jaccard-first")
-    spread = first.select("node", F.explode("prefix").alias("token"))
+    spread = first.select("node", F.col("lone").alias("rank"), F.explode("prefix").alias("token"))
     several = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(spread.join(several, "token").select("token", "node"), "jaccard-members")
+    members = stored(spread.join(several, "token").select("token", "node", "rank"), "jaccard-members")
 
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     classes = stored(
@@ -359,13 +401,15 @@ def groups(docs: DataFrame) -> DataFrame:
     )
     texts = rows.withColumn("of", F.coalesce("doc_id", F.lit(0))).withColumn("none", F.isnull("doc_id"))
     sets = texts.join(wanted, ["of", "none", "key"], "left_semi").select("text").mapInArrow(
-        _whole_sets, "cls long, size long, tokens array<long>, second array<long>"
+        _whole_sets, "cls long, size long, tokens array<long>, second array<long>, bits array<long>"
     )
     sets = stored(sets, "jaccard-tokens")
     if not sets.groupBy("cls", "size").count().where("count > 1").isEmpty():
         sets = stored(sets.dropDuplicates(["cls", "size"]), "jaccard-tokens")  # repeated rows
     second = stored(_second_prefixes(sets), "jaccard-second")
-    parts = _linked(members, second, sets.select(F.struct("cls", "size").alias("node"), "tokens"))
+    parts = _linked(
+        members, first, second, sets.select(F.struct("cls", "size").alias("node"), "tokens", "bits")
+    )
 
     labelled = classes.join(parts, "node", "left").select(
         "node", "place", F.coalesce("part", "node").alias("part")
