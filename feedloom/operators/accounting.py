@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom import scratch
 from feedloom.contract import BAD_ID, MISSING_FIELD_1, MISSING_FIELD_2, MISSING_FIELD_3
 from feedloom.functions.lines import fingerprint
 from feedloom.functions.numbers import floor_div
@@ -32,33 +33,54 @@ def topic_size(feed: DataFrame) -> DataFrame:
     )
 
 
-def throughput(rows: DataFrame, interval_seconds: int, start) -> DataFrame:
-    """Progress at the end of every interval after ``start``, quiet ones included.
+#: Intervals that one task sums up; the sums before it come from a row per such chunk.
+CHUNK_INTERVALS = 1 << 16
+
 
-    ``start`` is a timestamp column expression; earlier rows count as the first
-    interval's. Rows are counted per interval first; running totals and the filling
-    of gaps work on those few counts.
+def throughput(rows: DataFrame, interval_seconds: int, start) -> DataFrame:
+    """Progress at the end of every interval from ``start`` on, quiet ones included.
+
+    ``start`` is a timestamp column expression. Rows before it are in intervals with
+    negative numbers, which have no average rate. Rows without a timestamp are in one
+    row of their own, with nothing but their count. Rows are counted per interval
+    first and these counts stored; of them, only the first and last number come to the
+    driver, and running totals are made in chunks of intervals, so that a far timestamp
+    makes many rows but no large task.
     """
+    spark = rows.sparkSession
     micros = F.unix_micros("timestamp") - F.unix_micros(start)
-    number = F.greatest(floor_div(micros, interval_seconds * 1_000_000), F.lit(0))
-    counted = rows.groupBy(number.alias("interval_no")).agg(F.count("*").alias("records"))
-    spine = counted.agg(F.max("interval_no").alias("last")).select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), "last")).alias("interval_no")
+    number = floor_div(micros, interval_seconds * 1_000_000)
+    path = scratch.new_path(spark, "throughput")
+    rows.groupBy(number.alias("interval_no")).agg(F.count("*").alias("records")).write.parquet(path)
+    counted = spark.read.schema("interval_no BIGINT, records BIGINT").parquet(path)
+    first, last = counted.agg(F.min("interval_no"), F.max("interval_no")).first()
+    spine = spark.range(0 if first is None else min(0, first), 0 if last is None else max(0, last + 1))
+    chunk = floor_div(F.col("interval_no"), CHUNK_INTERVALS).alias("chunk")
+    filled = (
+        spine.withColumnRenamed("id", "interval_no").join(counted, "interval_no", "left")
+        .select("interval_no", F.coalesce("records", F.lit(0)).cast("bigint").alias("records"), chunk)
+    )
+    before = F.sum("n").over(Window.orderBy("chunk")) - F.col("n")
+    chunks = filled.groupBy("chunk").agg(F.sum("records").alias("n")).select(
+        "chunk", before.alias("before")
     )
-    so_far = F.sum("records").over(Window.orderBy("interval_no"))
+    within = F.sum("records").over(Window.partitionBy("chunk").orderBy("interval_no"))
     elapsed = (F.col("interval_no") + 1) * interval_seconds
-    return (
-        spine.join(counted, "interval_no", "left")
-        .withColumn("records", F.coalesce("records", F.lit(0)).cast("bigint"))
-        .withColumn("records_so_far", so_far)
-        .select(
-            "interval_no",
-            "records",
-            "records_so_far",
-            (F.col("records") / F.lit(interval_seconds)).alias("current_rate"),
-            (F.col("records_so_far") / elapsed).alias("average_rate"),
-        )
+    columns = (
+        "interval_no",
+        "records",
+        F.col("records_so_far").cast("bigint").alias("records_so_far"),
+        F.when(F.col("records_so_far").isNotNull(), F.col("records") / F.lit(interval_seconds))
+        .alias("current_rate"),
+        F.when(elapsed > 0, F.col("records_so_far") / elapsed).alias("average_rate"),
+    )
+    dated = filled.withColumn("so_far", within).join(chunks, "chunk").withColumn(
+        "records_so_far", F.col("so_far") + F.col("before")
+    )
+    undated = counted.where("interval_no is null").withColumn(
+        "records_so_far", F.lit(None).cast("bigint")
     )
+    return dated.select(*columns).unionByName(undated.select(*columns))
 
 
 def completion_summary(rows: DataFrame, target: int) -> DataFrame:

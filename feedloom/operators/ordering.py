@@ -22,6 +22,7 @@ from feedloom.operators.sizing import table_options
 # monotonically_increasing_id counts the rows of a partition in its 33 low bits.
 ROW_MASK = (1 << 33) - 1
 
+TOTAL = "n BIGINT"
 BUCKETS = "bucket INT, n BIGINT, before BIGINT"
 CONTENT = ("raw", "id", "name", "continent", "partition", "offset")
 
@@ -39,12 +40,14 @@ def store_ordering(
 ) -> None:
     """Write ``records`` in the order of ``key``, one file sequence per sorted partition.
 
-    ``path/rows`` holds the rows, ``path/buckets`` the rows per sorted partition.
-    The latter is emptied first and written last: rows without their bucket are not
-    finished, and reading them is an error, also when an older ordering was there.
+    ``path/rows`` holds the rows, ``path/buckets`` the rows per sorted partition, and
+    ``path/total`` one row with their number. The total is emptied first and written
+    last: without it an ordering is not finished, and ``read_ordering`` and
+    ``read_head`` refuse it, also when an older ordering was there.
     """
     spark = records.sparkSession
     sort_columns(key)
+    _write_total(spark.createDataFrame([], TOTAL), path)
     _write_buckets(spark.range(0).select(F.col("id").cast("int").alias("bucket")), path)
     # What the sort does not need is not carried through the shuffle: the line has it.
     lean = records.select("raw", *sort_columns(key))
@@ -58,6 +61,25 @@ def store_ordering(
         .write.mode("overwrite").options(**table_options("row", "raw", "offset")).parquet(f"{path}/rows")
     )
     _write_buckets(spark.read.schema("bucket INT").parquet(f"{path}/rows"), path)
+    sizes = spark.read.schema(BUCKETS).parquet(f"{path}/buckets").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("n").alias("most")
+    )
+    if (sizes.first()["most"] or 0) > ROW_MASK:
+        raise ValueError("a sorted partition has too many rows to number; use more ranges")
+    _write_total(sizes.select("n"), path)
+
+
+def _write_total(total: DataFrame, path: str) -> None:
+    total.coalesce(1).write.mode("overwrite").parquet(f"{path}/total")
+
+
+def total(spark: SparkSession, path: str) -> int:
+    """The rows of a stored ordering; an error if it is not finished."""
+    marker = spark.read.schema(TOTAL).parquet(f"{path}/total").first()
+    counted = spark.read.schema(BUCKETS).parquet(f"{path}/buckets").agg(F.sum("n")).first()[0]
+    if marker is None or marker["n"] != (counted or 0):
+        raise RuntimeError(f"the ordering in {path} is not finished")
+    return marker["n"]
 
 
 def _write_buckets(rows: DataFrame, path: str) -> None:
@@ -79,6 +101,7 @@ def read_ordering(spark: SparkSession, path: str) -> DataFrame:
     The bucket table has as many rows as the sort had partitions. Catalyst knows
     its file size and broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
+    total(spark, path)
     return _with_pos(_read_rows(spark, path), _read_buckets(spark, path))
 
 
@@ -88,6 +111,7 @@ def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
     The bucket table tells the place of the n-th row, and the scan skips all row
     groups beyond it.
     """
+    total(spark, path)
     buckets = _read_buckets(spark, path)
     holder = buckets.filter(F.col("before") < n).orderBy(F.desc("before")).first()
     if holder is None:

@@ -46,20 +46,24 @@ def bounded(records: DataFrame, max_records: int = 0, idle_seconds: int | None =
 
 
 def store_orderings(
-    records: DataFrame, path: str, keys: tuple[str, ...] = SORT_KEYS, ranges: int | None = None
+    records: DataFrame,
+    path: str,
+    keys: tuple[str, ...] = SORT_KEYS,
+    ranges: int | None = None,
+    at_once: int = len(SORT_KEYS),
 ) -> dict[str, str]:
     """One stored ordering per key; returns where.
 
-    Small inputs are sorted by all keys together, so that no executor waits for the
-    stragglers of one sort. Inputs that need more ``ranges`` than the session's
-    shuffle width fill the cluster by themselves and go one after the other: else the
-    shuffle files of all sorts would need disk space at once. A failed sort fails
-    the call.
+    ``at_once`` orderings are made at a time. Together, no executor waits for the
+    stragglers of one sort; one after the other, only one sort's shuffle files need disk
+    space, which is what to choose for inputs that fill the cluster. ``ranges`` is the
+    number of sorted partitions, the session's shuffle width if not given. A failed sort
+    fails the call.
     """
     for key in keys:
         sort_columns(key)
     paths = {key: f"{path}/key={key}" for key in keys}
-    with ThreadPoolExecutor(max_workers=len(keys) if ranges is None else 1) as pool:
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
         jobs = [pool.submit(store_ordering, records, key, paths[key], ranges) for key in keys]
         for done in jobs:
             done.result()
@@ -72,12 +76,17 @@ def order_feed(
     keys: tuple[str, ...] = SORT_KEYS,
     max_records: int = 0,
     idle_seconds: int | None = None,
+    ranges: int | None = None,
+    at_once: int = len(SORT_KEYS),
 ) -> dict[str, str]:
-    """Parse a feed once and store every ordering of it under ``path``."""
+    """Parse a feed once and store every ordering of it under ``path``.
+
+    ``ranges`` is measured from the bytes of the lines if it is not given.
+    """
     spark = feed.sparkSession
     raw_bytes = store_parsed(feed, f"{path}/parsed")
     records = bounded(read_valid(spark, f"{path}/parsed"), max_records, idle_seconds)
-    return store_orderings(records, path, keys, ranges_for(spark, raw_bytes))
+    return store_orderings(records, path, keys, ranges or ranges_for(spark, raw_bytes), at_once)
 
 
 def three_orderings(feed: DataFrame, path: str) -> DataFrame:

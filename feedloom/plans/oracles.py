@@ -120,6 +120,23 @@ SELECT interval_no, records, records_so_far, records / {day} AS current_rate,
   records_so_far / ((interval_no + 1) * {day}) AS average_rate FROM summed"""
 
 
+def _throughput_dirty() -> str:
+    day = q.DAY_SECONDS
+    return f""",
+odd AS (SELECT CASE WHEN off % 97 = 0 THEN NULL WHEN off % 101 = 1 THEN ts + INTERVAL {q.FAR_DAYS} DAY
+  ELSE ts END AS ts FROM ok),
+counted AS (SELECT CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '{q.EVENTS_LATE_START}')) / {day * 1_000_000})
+  AS BIGINT) AS interval_no, count(*) AS n FROM odd GROUP BY 1),
+filled AS (SELECT s.i AS interval_no, coalesce(n, 0) AS records
+  FROM (SELECT unnest(range((SELECT least(0, min(interval_no)) FROM counted),
+    (SELECT max(interval_no) + 1 FROM counted))) AS i) s
+  LEFT JOIN counted ON counted.interval_no = s.i),
+summed AS (SELECT *, CAST(sum(records) OVER (ORDER BY interval_no) AS BIGINT) AS records_so_far FROM filled)
+SELECT interval_no, records, records_so_far, records / {day} AS current_rate,
+  CASE WHEN interval_no >= 0 THEN records_so_far / ((interval_no + 1) * {day}) END AS average_rate FROM summed
+UNION ALL SELECT interval_no, n, NULL, NULL, NULL FROM counted WHERE interval_no IS NULL"""
+
+
 _RECORDS = f"raw, id, name, address, continent, {_PLACE}, ts AS \"timestamp\""
 _PARSE = (
     "SELECT raw, CASE WHEN error IS NULL THEN id END AS id,"
@@ -157,6 +174,7 @@ def all_oracles() -> dict[str, str]:
         "topic_size": f'WITH {_DIRTY} SELECT part AS "partition", count(*) AS messages,'
                       " max(off) + 1 AS end_offset FROM feed GROUP BY part",
         "throughput": _on(_EVENTS, _throughput()),
+        "throughput_dirty": _on(_EVENTS, _throughput_dirty()),
         "milestones": _on(_EVENTS, f""",
 started AS (SELECT part, min(ts) AS started FROM ok GROUP BY part)
 SELECT part AS "partition", rank AS records, ts AS reached_at,

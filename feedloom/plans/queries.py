@@ -28,6 +28,8 @@ MILESTONE = 500
 DAY_SECONDS = 86_400
 HOUR_SECONDS = 3_600
 EVENTS_START = "2024-01-01 00:00:00"
+EVENTS_LATE_START = "2024-01-10 00:00:00"
+FAR_DAYS = 3_000
 EVENTS_AS_OF = "2024-01-31 00:00:00"
 EVENTS_TARGET = 12_000
 WORKERS = 7
@@ -58,7 +60,9 @@ def _generate_feed(spark, sf_dir):
 
 
 def _scan_feed(spark, sf_dir):
-    return tables.dirty_orders_feed(spark, sf_dir)
+    path = scratch.new_path(spark, "scan-feed")
+    write_feed(tables.dirty_orders_feed(spark, sf_dir), path)
+    return scan_feed(spark, path)
 
 
 def _stream_drain(spark, sf_dir):
@@ -130,6 +134,17 @@ def _throughput(spark, sf_dir):
     return accounting.throughput(_events(spark, sf_dir), DAY_SECONDS, _moment(EVENTS_START))
 
 
+def _throughput_dirty(spark, sf_dir):
+    place = F.col("offset")
+    odd = (
+        F.when(place % 97 == 0, F.lit(None).cast("timestamp"))
+        .when(place % 101 == 1, F.col("timestamp") + F.expr(f"INTERVAL {FAR_DAYS} DAY"))
+        .otherwise(F.col("timestamp"))
+    )
+    rows = _events(spark, sf_dir).withColumn("timestamp", odd)
+    return accounting.throughput(rows, DAY_SECONDS, _moment(EVENTS_LATE_START))
+
+
 def _milestones(spark, sf_dir):
     return arrival.milestones(_events(spark, sf_dir), MILESTONE)
 
@@ -184,9 +199,11 @@ def _fixed_batches(spark, sf_dir):
 
 def _shard_quota(spark, sf_dir):
     feed = tables.orders_feed(spark, sf_dir)
-    placed = ordering.sorted_by(valid_records(feed), "id")
+    path = scratch.new_path(spark, "quota")
+    ordering.store_ordering(valid_records(feed), "id", path)
+    placed = ordering.read_ordering(spark, path)
     return (
-        quota.with_shard(placed, feed.count(), WORKERS)
+        quota.with_shard(placed, ordering.total(spark, path), WORKERS)
         .groupBy("shard")
         .agg(
             F.count("*").alias("records"),
@@ -240,6 +257,7 @@ QUERIES: dict[str, Query] = {
     "intake_stats": _intake_stats,
     "topic_size": _topic_size,
     "throughput": _throughput,
+    "throughput_dirty": _throughput_dirty,
     "milestones": _milestones,
     "completion_summary": _completion_summary,
     "reconcile": _reconcile,

@@ -46,6 +46,8 @@ def drain_runs(feed: DataFrame, path: str, checkpoint: str, key: str) -> None:
 
 
 def _run(feed: DataFrame, store, checkpoint: str) -> None:
+    # A stream without rows has no micro-batch; this one gives its table a schema.
+    store(feed.sparkSession.createDataFrame([], feed.schema), -1)
     query = (
         feed.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)

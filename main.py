@@ -54,6 +54,7 @@ def run(spark: SparkSession, chosen: argparse.Namespace) -> None:
     reports = job.report(spark, chosen.out, keys, *limits)
     for name, table in reports.items():
         print(name)
+        table.write.mode("overwrite").parquet(f"{chosen.out}/report/{name}")
         table.show(truncate=False)
     job.check(reports)
     for key, path in paths.items():

@@ -41,9 +41,20 @@ def test_throughput_shows_quiet_intervals(spark):
     ]
 
 
-def test_throughput_keeps_earlier_rows_and_empty_feeds(spark):
-    rows = accounting.throughput(at(spark, [-100, 5]), 10, start()).collect()
-    assert [(r["interval_no"], r["records"]) for r in rows] == [(0, 2)]
+def test_throughput_with_early_missing_and_far_timestamps(spark):
+    feed = at(spark, [-15, -1, 5, 25, 26])
+    feed = feed.withColumn("timestamp", F.when(F.col("id") != 3, F.col("timestamp")))
+    rows = accounting.throughput(feed, 10, start()).collect()
+    assert sorted(map(tuple, rows), key=lambda r: (r[0] is None, r)) == [
+        (-2, 1, 1, 0.1, None), (-1, 1, 2, 0.1, None), (0, 1, 3, 0.1, 0.3),
+        (1, 0, 3, 0.0, 0.15), (2, 1, 4, 0.1, 4 / 30), (None, 1, None, None, None),
+    ]
+    far = at(spark, [0, 3600 * 24 * 365 * 7975.0])
+    last = accounting.throughput(far, 86_400, start()).orderBy(F.desc("interval_no")).first()
+    assert (last["interval_no"], last["records_so_far"]) == (365 * 7975, 2)
+
+
+def test_throughput_of_empty_feeds(spark):
     assert accounting.throughput(at(spark, [1]).filter("id < 0"), 10, start()).count() == 0
 
 

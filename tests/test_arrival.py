@@ -106,9 +106,9 @@ def test_large_summaries_are_not_broadcast(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("total, workers, sizes", [
-    (1000, 10, [100] * 10),
-    (1005, 10, [105] + [100] * 9),
-    (7, 3, [3, 2, 2]),
+    (840, 12, [70] * 12),
+    (17, 4, [5, 4, 4, 4]),
+    (1_000_003, 2, [500_002, 500_001]),
     (2, 3, [2, 0, 0]),
     (0, 3, [0, 0, 0]),
 ])

@@ -76,10 +76,10 @@ def test_literal_orders(spark):
         records = valid_records(feed_of(spark, lines))
         return [r[column] for r in sorted(ordering.sorted_by(records, key).collect())]
 
-    assert names(["3,C,X,EU", "1,A,X,AS", "2,B,X,AF"], "id", "id") == [1, 2, 3]
-    people = ["1,Charlie,X,EU", "2,Alice,X,AS", "3,Bob,X,AF"]
-    assert names(people, "name", "name") == ["Alice", "Bob", "Charlie"]
-    places = ["1,A,X,Europe", "2,B,X,Asia", "3,C,X,Asia", "4,D,X,Africa"]
+    assert names(["70,k,s,Oz", "-5,k,s,Oz", "12,k,s,Oz"], "id", "id") == [-5, 12, 70]
+    people = ["8,Mira,s,Oz", "4,Anton,s,Oz", "6,Jule,s,Oz"]
+    assert names(people, "name", "name") == ["Anton", "Jule", "Mira"]
+    places = ["11,k,s,Europe", "12,k,s,Asia", "13,k,s,Asia", "14,k,s,Africa"]
     assert names(places, "continent", "continent") == ["Africa", "Asia", "Asia", "Europe"]
 
 
@@ -145,6 +145,10 @@ def test_unfinished_ordering_cannot_be_read(spark, tmp_path, monkeypatch):
         ordering.read_ordering(spark, path).collect()
     with pytest.raises(Exception, match="not finished"):
         ordering.read_head(spark, path).collect()
+    with pytest.raises(RuntimeError, match="not finished"):
+        ordering.read_ordering(spark, path).count()
+    with pytest.raises(RuntimeError, match="not finished"):
+        ordered_messages(ordering.read_ordering(spark, path), "id")
     ordering.store_ordering(records, "id", path)
     assert positions(ordering.read_ordering(spark, path)) == expected_order(records, "id")
 

@@ -10,15 +10,14 @@ from feedloom.functions.lines import format_line
 from feedloom.operators.intake import parse_feed, rejects, valid_records
 
 LITERAL = [
-    ("123,John Doe,Sales,Europe", (123, "John Doe", "Sales", "Europe")),
-    ("123John,Sales,Europe", "missing field 3"),
-    ("123,JohnSalesEurope", "missing field 2"),
-    ("123,John,SalesEurope", "missing field 3"),
-    ("abc,John,Sales,Europe", "bad id"),
-    ("-42,John,Sales,Europe", (-42, "John", "Sales", "Europe")),
-    ("123,,Sales,", (123, "", "Sales", "")),
-    ("1,John,Sales,North,America", (1, "John", "Sales", "North,America")),
-    ("7, John Doe , Sales , Europe ", (7, " John Doe ", " Sales ", " Europe ")),
+    ("806,Ilse M,Am Ring 4,Asia", (806, "Ilse M", "Am Ring 4", "Asia")),
+    ("806Ilse,Am Ring,Asia", "missing field 3"),
+    ("806,Ilse", "missing field 2"),
+    ("o6,Ilse,Am Ring,Asia", "bad id"),
+    ("-9,Ilse,Am Ring,Asia", (-9, "Ilse", "Am Ring", "Asia")),
+    ("5,,,", (5, "", "", "")),
+    ("5,a,b,c,d,", (5, "a", "b", "c,d,")),
+    ("5, a,b , c ", (5, " a", "b ", " c ")),
     ("", "missing field 1"),
     (None, "missing field 1"),
     ("123", "missing field 1"),
