@@ -102,6 +102,7 @@ def main() -> None:
         result["generated_records"] = records
         result["phases"] = phases(spark, records, cpus)
     print(json.dumps(result))
+    scratch.release(spark)
     spark.stop()
 
 

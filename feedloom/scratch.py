@@ -27,10 +27,24 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+#: Paths given out in this process and not yet released.
+_given: list[str] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, for one intermediate table.
 
-    Such tables live as long as checkpoint files do: the cluster's own clean-up
-    of the checkpoint folder removes them.
+    Results may read from it until they are written or collected, so nothing removes it
+    by itself: whoever runs the queries calls ``release`` when done with their results.
     """
-    return f"{shared_folder(spark)}/feedloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/feedloom/{label}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this process; results not yet read are lost."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _given:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_given.pop())
+        path.getFileSystem(hadoop).delete(path, True)

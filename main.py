@@ -12,6 +12,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from feedloom import scratch
 from feedloom.contract import SORT_KEYS
 from feedloom.operators.ordering import read_head, read_ordering
 from feedloom.plans import job
@@ -66,4 +67,8 @@ def run(spark: SparkSession, chosen: argparse.Namespace) -> None:
 
 
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("feedloom").getOrCreate(), arguments())
+    session = SparkSession.builder.appName("feedloom").getOrCreate()
+    try:
+        run(session, arguments())
+    finally:
+        scratch.release(session)
