@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,8 @@ CLASSES, FIRST = 8, 3
 BITS = 512
 #: More hubs are tried while more than so many pairs for a member of a token are left.
 FEW_PAIRS = 4
+#: Rounds of labels between hubs; a hub and its copies need two.
+LABELS = 2
 CACHED_WORDS = 500_000
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -284,20 +287,20 @@ def _verified(pairs: DataFrame, second: DataFrame, sets: DataFrame) -> DataFrame
     return both.where(common * 100 >= union * SIMILAR).select("a", "b")
 
 
-def components(links: DataFrame, label: str = "jaccard-labels") -> DataFrame:
+def components(links: DataFrame, label: str = "jaccard-labels", rounds: int | None = None) -> DataFrame:
     """node, part: the smallest node reachable by links (a, b), for all that have one.
 
     Labels go to neighbours, and then to whoever has the label's owner as a label, until
-    none changes; the second step makes long chains short.
+    none changes; the second step makes long chains short. ``links`` is read once a round,
+    so it should be stored. With ``rounds``, no more than so many: nodes of one label are
+    connected then, too, but connected ones may still have several.
     """
-    both = stored(
-        links.select("a", "b").union(links.select("b", "a")).distinct(), f"{label}-edges"
-    )
+    both = links.select("a", "b").union(links.select("b", "a"))
     parts = stored(
         both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
         .select("node", F.least("node", "b").alias("part")), label,
     )
-    while True:
+    for n in count(1):
         of = lambda name: parts.select(F.col("node").alias(name), F.col("part").alias(f"part_{name}"))
         nearest = both.join(of("b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("part_b").alias("near"))
         better = (
@@ -307,16 +310,17 @@ def components(links: DataFrame, label: str = "jaccard-labels") -> DataFrame:
         )
         better = stored(better, label)
         parts = better.select("node", "part")
-        if better.where("was != part").isEmpty():
+        if n == rounds or better.where("was != part").isEmpty():
             return parts
 
 
 def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataFrame) -> DataFrame:
     """node, part: the components that similar members (token, node, rank) of a token make.
 
-    ``rank`` orders the members of a token as hubs.
+    ``rank`` orders the members of a token as hubs. What is in one component already is
+    only known in order to leave out pairs, so until the end LABELS rounds are enough.
     """
-    links, parts = None, None
+    links = None
     now = members.withColumn("part", F.col("node"))
     hubs = now.groupBy("token").agg(F.min(F.struct("rank", "node", "part")).alias("hub"))
     work = None
@@ -324,29 +328,30 @@ def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataF
         pairs = now.join(hubs, "token").where(F.col("part") != F.col("hub.part")).select(
             F.col("node").alias("a"), F.col("hub.node").alias("b")
         )
-        links, parts = _add_links(links, pairs, second, sets)
+        links = _add_links(links, pairs, second, sets)
         now = stored(
-            members.join(parts, "node", "left")
+            members.join(components(links, rounds=LABELS), "node", "left")
             .select("token", "node", "rank", F.coalesce("part", "node").alias("part")),
             "jaccard-members",
         )
-        # The largest component of each token, and how many members are outside of it.
-        main = now.groupBy("token", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
-            F.max_by("part", F.struct("n", "part")).alias("main"),
-            F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("outside"),
-        ).where("outside > 0")
+        # The largest component of each token, how many members are outside of it, and the
+        # next hub.
+        used = hubs.select("token", F.struct("hub.rank", "hub.node").alias("used"))
+        later = F.when(F.struct("rank", "node") > F.col("used"), F.struct("rank", "node", "part"))
+        main = (
+            now.join(used, "token", "left").groupBy("token", "part")
+            .agg(F.count(F.lit(1)).alias("n"), F.min(later).alias("hub"))
+            .groupBy("token").agg(
+                F.max_by("part", F.struct("n", "part")).alias("main"), F.min("hub").alias("hub"),
+                F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("outside"),
+            ).where("outside > 0")
+        )
         main = stored(main, "jaccard-main")
         left = main.agg(F.sum(F.col("outside") * F.col("all")), F.sum("all")).first()
         before, work = work, left[0] or 0
         if work <= FEW_PAIRS * (left[1] or 0) or before is not None and work > 0.8 * before:
             break
-        used = hubs.select("token", F.struct("hub.rank", "hub.node").alias("used"))
-        hubs = (
-            now.join(main.select("token"), "token", "left_semi").join(used, "token")
-            .where(F.struct("rank", "node") > F.col("used"))
-            .groupBy("token").agg(F.min(F.struct("rank", "node", "part")).alias("hub"))
-        )
-        hubs = stored(hubs, "jaccard-hubs")
+        hubs = main.where("hub is not null").select("token", "hub")
     words = [F.col("bits")[i].alias(f"bits{i}") for i in range(BITS // 64)]
     known = first.select("node", "prefix").join(sets.select("node", *words), "node")
     detail = stored(
@@ -365,17 +370,16 @@ def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataF
         & (both * (100 - SIMILAR) >= differ * (100 + SIMILAR))
         & (F.array_min(F.array_intersect("prefix_x", "prefix_y")) == F.col("token_x")),
     ).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
-    return _add_links(links, pairs, second, sets)[1]
+    return components(_add_links(links, pairs, second, sets))
 
 
 def _add_links(
     links: DataFrame | None, pairs: DataFrame, second: DataFrame, sets: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """All links with those among the pairs, and the components they make."""
+) -> DataFrame:
+    """All links, with those among the pairs."""
     pairs = stored(pairs.where(_fits(F.col("a"), F.col("b"))).distinct(), "jaccard-pairs")
     found = stored(_verified(pairs, second, sets), "jaccard-links")
-    links = found if links is None else links.unionByName(found)
-    return links, components(links)
+    return found if links is None else links.unionByName(found)
 
 
 def groups(docs: DataFrame) -> DataFrame:
