@@ -216,11 +216,12 @@ FROM arrived WHERE rank <= {q.EXPECTED}"""),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY off) - 1 AS earlier FROM feed)
 SELECT value, {_PLACE}, ts AS "timestamp", earlier // {q.BATCH} AS batch, earlier % {q.BATCH} AS slot
 FROM ranked""",
-        "shard_quota": _on(_CLEAN, f""",
+        **{name: _on(feed, f""",
 placed AS (SELECT row_number() OVER (ORDER BY {_order("id")}) AS pos, count(*) OVER () AS n FROM ok),
 dealt AS (SELECT pos, n // {q.WORKERS} AS share, n % {q.WORKERS} AS rest FROM placed)
 SELECT CAST(CASE WHEN pos <= share + rest THEN 0 ELSE (pos - 1 - rest) // share END AS INTEGER) AS shard,
-  count(*) AS records, min(pos) AS first_pos, max(pos) AS last_pos FROM dealt GROUP BY 1"""),
+  count(*) AS records, min(pos) AS first_pos, max(pos) AS last_pos FROM dealt GROUP BY 1""")
+           for name, feed in (("shard_quota", _CLEAN), ("shard_quota_dirty", _DIRTY))},
         "stream_sort": by_name,
         "publish_ordering": _on(_DOCUMENTS, _ordering("name")),
         "write_runs": _on(_DIRTY, _RUNS),

@@ -198,7 +198,14 @@ def _fixed_batches(spark, sf_dir):
 
 
 def _shard_quota(spark, sf_dir):
-    feed = tables.orders_feed(spark, sf_dir)
+    return _shards(spark, tables.orders_feed(spark, sf_dir))
+
+
+def _shard_quota_dirty(spark, sf_dir):
+    return _shards(spark, tables.dirty_orders_feed(spark, sf_dir))
+
+
+def _shards(spark, feed):
     path = scratch.new_path(spark, "quota")
     ordering.store_ordering(valid_records(feed), "id", path)
     placed = ordering.read_ordering(spark, path)
@@ -268,6 +275,7 @@ QUERIES: dict[str, Query] = {
     "expected_count": _expected_count,
     "fixed_batches": _fixed_batches,
     "shard_quota": _shard_quota,
+    "shard_quota_dirty": _shard_quota_dirty,
     "stream_sort": _stream_sort,
     "publish_ordering": _publish_ordering,
     "write_runs": _write_runs,

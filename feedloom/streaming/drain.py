@@ -94,11 +94,12 @@ def intake_sessions(feed: DataFrame, idle_seconds: int, lateness: str = "0 secon
 def stop_when_idle(query: StreamingQuery, idle_seconds: float, poll_seconds: float = 1.0) -> None:
     """Stop a running query once it has taken in nothing for ``idle_seconds``."""
     last_row = time.monotonic()
-    seen = None
+    seen = -1
     while query.isActive:
-        progress = query.lastProgress
-        if progress is not None and progress.batchId != seen and progress.numInputRows > 0:
-            seen, last_row = progress.batchId, time.monotonic()
+        # All batches since the last look, not only the latest, which may be an empty one.
+        taken = [p.batchId for p in query.recentProgress if p.numInputRows > 0 and p.batchId > seen]
+        if taken:
+            seen, last_row = max(taken), time.monotonic()
         if time.monotonic() - last_row > idle_seconds and not query.status["isTriggerActive"]:
             query.stop()
             return
