@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from feedloom import scratch
 from feedloom.contract import HEAD_SIZE, sort_columns
 from feedloom.functions import lines
+from feedloom.functions.numbers import floor_div
 from feedloom.operators.sizing import table_options
 
 # monotonically_increasing_id counts the rows of a partition in its 33 low bits.
@@ -105,6 +106,17 @@ def read_ordering(spark: SparkSession, path: str) -> DataFrame:
     return _with_pos(_read_rows(spark, path), _read_buckets(spark, path))
 
 
+def in_stretches(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """A stored ordering dealt to ``n`` tasks: the i-th has the i-th stretch of positions.
+
+    Positions are dense, so the stretches are of like length. Rows go straight to their
+    task by position; no key is compared or sampled again.
+    """
+    rows = max(total(spark, path), 1)
+    stretch = floor_div((F.col("pos") - 1) * n, rows).cast("int")
+    return read_ordering(spark, path).repartitionById(n, stretch).sortWithinPartitions("pos")
+
+
 def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
     """The first ``n`` rows of a stored ordering.
 

@@ -18,15 +18,18 @@ def sorted_runs(
 ) -> DataFrame:
     """One row per key and record: its run and its place in the run.
 
-    All keys are sorted in the same task after one shuffle by ``(partition, run)``,
-    and only then are the rows multiplied by the number of keys.
+    Only the line and the sort columns are moved. One range shuffle by ``(partition, run)``
+    puts neighbouring runs in the same task, where all keys are sorted, and only then are
+    the rows multiplied by the number of keys.
     """
+    columns = dict.fromkeys(["raw", *[c for key in keys for c in sort_columns(key)]])
     run = floor_div(F.col("rank") - 1, flush_size)
-    placed = with_arrival_rank(records, chunk_offsets).withColumn("run", run)
+    ranked = with_arrival_rank(records.select(*columns), chunk_offsets)
+    placed = ranked.withColumn("run", run).drop("rank").repartitionByRange("partition", "run")
     for key in keys:
         order = Window.partitionBy("partition", "run").orderBy(*sort_columns(key))
         placed = placed.withColumn(f"_by_{key}", F.row_number().over(order).cast("bigint"))
     places = F.array(*[
         F.struct(F.lit(key).alias("key"), F.col(f"_by_{key}").alias("pos_in_run")) for key in keys
     ])
-    return placed.select(F.inline(places), *records.columns, "run")
+    return placed.select(F.inline(places), *columns, "run")

@@ -17,6 +17,7 @@ def sortedness(
     position: str = "pos",
     within: tuple[str, ...] = (),
     chunk: Column | None = None,
+    numbers: bool = False,
 ) -> DataFrame:
     """One row: rows, places where the key falls, and the first position of one.
 
@@ -24,7 +25,8 @@ def sortedness(
     ``within``. Neighbours are compared inside chunks of consecutive positions;
     the last key of a chunk meets the first of the next in a table with one row
     per chunk. ``chunk`` may name any cut of the order into such pieces. Equal
-    neighbours are in order.
+    neighbours are in order. With ``numbers``, ``is_numbered`` says whether the positions
+    are 1, 2, ... without a gap or a repeat; that is for an order without ``within``.
     """
     sort_columns(key)
     if chunk is None:
@@ -38,6 +40,7 @@ def sortedness(
     per_chunk = (
         narrow.withColumns({
             "falls": F.lag("k").over(inside) > F.col("k"),
+            "repeats": F.lag("at").over(inside) == F.col("at"),
             "opens": F.lag("at").over(inside).isNull(),
             "closes": F.lead("at").over(inside).isNull(),
         })
@@ -46,23 +49,34 @@ def sortedness(
             F.count("*").alias("n"),
             F.count_if("falls").alias("falls"),
             F.min(F.when(F.col("falls"), F.col("at"))).alias("first_fall"),
+            F.count_if("repeats").alias("repeats"),
             F.min("at").alias("start"),
+            F.max("at").alias("end"),
             F.max(F.when(F.col("opens"), F.col("k"))).alias("first_key"),
             F.max(F.when(F.col("closes"), F.col("k"))).alias("last_key"),
         )
     )
-    seam = F.lag("last_key").over(Window.partitionBy(*groups).orderBy("chunk")) > F.col("first_key")
-    return (
+    chunks = Window.partitionBy(*groups).orderBy("chunk")
+    seam = F.lag("last_key").over(chunks) > F.col("first_key")
+    overlap = F.lag("end").over(chunks) >= F.col("start")
+    numbered = (F.min("start") == 1) & (F.max("end") == F.sum("n")) & (
+        F.sum(F.col("repeats") + F.col("overlap").cast("int")) == 0
+    )
+    checked = (
         per_chunk.withColumn("seam", F.coalesce(seam, F.lit(False)))
+        .withColumn("overlap", F.coalesce(overlap, F.lit(False)))
         .agg(
             F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
             F.coalesce(F.sum(F.col("falls") + F.col("seam").cast("int")), F.lit(0))
             .cast("bigint").alias("inversions"),
             F.min(F.least("first_fall", F.when(F.col("seam"), F.col("start"))))
             .alias("first_bad_pos"),
+            F.coalesce(numbered, F.lit(True)).alias("is_numbered"),
         )
         .withColumn("is_sorted", F.col("inversions") == 0)
     )
+    shown = ["rows", "inversions", "first_bad_pos", "is_sorted"]
+    return checked.select(*shown, *["is_numbered"] * numbers)
 
 
 def check_head(head: DataFrame, key: str, n: int = HEAD_SIZE) -> DataFrame:

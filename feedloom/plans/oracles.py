@@ -78,6 +78,14 @@ _KEYED = _per_key(
     "SELECT '{key}' AS key, row_number() OVER (ORDER BY {order}) AS pos, raw FROM ok"
 )
 
+_FAULTY = f""",
+placed AS ({_KEYED}),
+faulty AS (SELECT * FROM placed WHERE key = 'id' AND pos % {q.FAULT_EVERY} <> 0
+  UNION ALL SELECT * FROM placed WHERE key = 'name'
+  UNION ALL SELECT * FROM placed WHERE key = 'name' AND pos % {q.FAULT_EVERY} = 0
+  UNION ALL SELECT p.* FROM placed p, range(2) r(i) WHERE key = 'continent' AND pos % 2 = 1
+    AND (i = 0 OR pos < (SELECT count(*) FROM ok)))"""
+
 _SORTEDNESS = _per_key(
     "SELECT 'ordering' AS subject, '{key}' AS key, count(*) AS rows,"
     " count(*) FILTER (WHERE falls) AS inversions,"
@@ -223,6 +231,30 @@ SELECT CAST(CASE WHEN pos <= share + rest THEN 0 ELSE (pos - 1 - rest) // share
   count(*) AS records, min(pos) AS first_pos, max(pos) AS last_pos FROM dealt GROUP BY 1""")
            for name, feed in (("shard_quota", _CLEAN), ("shard_quota_dirty", _DIRTY))},
         "stream_sort": by_name,
+        "publish_lines": _on(_DIRTY, _KEYED),
+        "stream_three_orderings": _on(_DIRTY, _KEYED),
+        "lines_to_orderings": _on(_DIRTY, _KEYED),
+        "reconcile_faults": _on(_DIRTY, _FAULTY + """,
+per_key AS (SELECT key, raw, count(*) AS n FROM faulty GROUP BY ALL),
+made AS (SELECT raw, count(*) AS n FROM ok GROUP BY raw),
+differ AS (SELECT k.key, count(*) FILTER (WHERE made.n IS DISTINCT FROM coalesce(p.n, 0)) AS n
+  FROM (SELECT DISTINCT key FROM faulty) k CROSS JOIN made
+  LEFT JOIN per_key p ON p.key = k.key AND p.raw = made.raw GROUP BY k.key)
+SELECT key, (SELECT count(*) FROM ok) AS produced, count(*) AS delivered,
+  count(*) = (SELECT count(*) FROM ok) AS counts_match,
+  count(*) = (SELECT count(*) FROM ok) AND any_value(d.n) = 0 AS contents_match
+FROM faulty JOIN differ d USING (key) GROUP BY key"""),
+        "verify_faults": _on(_DIRTY, _FAULTY + """
+SELECT key, count(*) AS rows, CAST(0 AS BIGINT) AS inversions, CAST(NULL AS BIGINT) AS first_bad_pos,
+  true AS is_sorted, count(DISTINCT pos) = count(*) AND max(pos) = count(*) AND min(pos) = 1 AS is_numbered
+FROM faulty GROUP BY key"""),
+        "verify_head_faults": _on(_DIRTY, _per_key(
+            "SELECT 'arrival' AS subject, '{key}' AS key, count(*) AS checked,"
+            " CASE WHEN count(*) FILTER (WHERE falls) = 0 THEN 'sorted' ELSE 'not sorted' END AS status"
+            " FROM (SELECT lag({key}) OVER (ORDER BY off) > {key} AS falls FROM ok"
+            f" WHERE part = 0 AND off <= {q.HEAD_OFFSETS})"
+            " UNION ALL SELECT 'one row', '{key}', CAST(1 AS BIGINT), 'not enough data'"
+        )),
         "publish_ordering": _on(_DOCUMENTS, _ordering("name")),
         "write_runs": _on(_DIRTY, _RUNS),
         "write_feed": f'WITH {_CLEAN} SELECT value, {_PLACE}, ts AS "timestamp" FROM feed',

@@ -14,9 +14,9 @@ from feedloom.contract import SORT_KEYS
 from feedloom.operators import accounting, arrival, ordering, quota, runs, verify
 from feedloom.operators.intake import parse_feed, rejects, valid_records
 from feedloom.plans import job
-from feedloom.sinks.files import write_feed, write_lines, write_runs
+from feedloom.sinks.files import write_feed, write_lines, write_runs, write_stored_lines
 from feedloom.sources import synthetic, tables
-from feedloom.sources.files import scan_feed, scan_lines, stream_feed
+from feedloom.sources.files import lines_feed, read_ordered_lines, scan_feed, scan_lines, stream_feed
 from feedloom.streaming import drain
 
 # Parameters the queries share with their SQL counterparts.
@@ -34,6 +34,9 @@ EVENTS_AS_OF = "2024-01-31 00:00:00"
 EVENTS_TARGET = 12_000
 WORKERS = 7
 FLUSH = 2000
+FAULT_EVERY = 1000
+HEAD_OFFSETS = 400
+STREAM_FILE_ROWS = 3000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,7 +174,8 @@ def _verify_sorted(spark, sf_dir):
     parts = []
     for key in SORT_KEYS:
         by_offset = verify.sortedness(arrived, key, "offset", ("partition",))
-        for subject, checked in (("ordering", stored[f"sorted_by_{key}"]), ("arrival", by_offset)):
+        in_place = stored[f"sorted_by_{key}"].drop("is_numbered")
+        for subject, checked in (("ordering", in_place), ("arrival", by_offset)):
             parts.append(checked.select(F.lit(subject).alias("subject"), F.lit(key).alias("key"), "*"))
     return _union(parts)
 
@@ -184,6 +188,48 @@ def _verify_head(spark, sf_dir):
     ])
 
 
+def _faulty_orderings(spark, sf_dir):
+    """An ordering per key: some rows lost, some doubled, or, with the number of rows as it
+    was, the first of each pair of neighbours in the place of both. Positions stay."""
+    path = scratch.new_path(spark, "faults")
+    paths = job.order_feed(tables.dirty_orders_feed(spark, sf_dir), path)
+    good = {key: ordering.read_ordering(spark, p) for key, p in paths.items()}
+    here = F.col("pos") % FAULT_EVERY == 0
+    even = ordering.total(spark, paths["continent"]) // 2 * 2
+    kept = good["continent"].filter((F.col("pos") % 2 == 1) | (F.col("pos") > even))
+    return path, {
+        "id": good["id"].filter(~here),
+        "name": good["name"].unionByName(good["name"].filter(here)),
+        "continent": kept.unionByName(kept.filter(F.col("pos") <= even)),
+    }
+
+
+def _reconcile_faults(spark, sf_dir):
+    path, faulty = _faulty_orderings(spark, sf_dir)
+    produced = job.read_valid(spark, f"{path}/parsed")
+    return accounting.reconcile(produced, ordering.keyed(faulty), SORT_KEYS)
+
+
+def _verify_faults(spark, sf_dir):
+    _, faulty = _faulty_orderings(spark, sf_dir)
+    return _union([
+        verify.sortedness(frame, key, numbers=True).select(F.lit(key).alias("key"), "*")
+        for key, frame in faulty.items()
+    ])
+
+
+def _verify_head_faults(spark, sf_dir):
+    arrived = _dirty(spark, sf_dir).filter("partition = 0").withColumn("pos", F.col("offset"))
+    parts = []
+    for key in SORT_KEYS:
+        for subject, n in (("arrival", HEAD_OFFSETS), ("one row", 1)):
+            first = ordering.head_of_ordering(arrived, "id", 1).select("offset")
+            head = arrived if n > 1 else arrived.join(F.broadcast(first), "offset", "left_semi")
+            checked = verify.check_head(head, key, HEAD_OFFSETS)
+            parts.append(checked.select(F.lit(subject).alias("subject"), "*"))
+    return _union(parts)
+
+
 def _idle_cut(spark, sf_dir):
     return accounting.idle_cut(_events(spark, sf_dir), HOUR_SECONDS)
 
@@ -232,6 +278,30 @@ def _publish_ordering(spark, sf_dir):
     return ordering.read_ordering(spark, path).drop("bucket")
 
 
+def _publish_lines(spark, sf_dir):
+    path = scratch.new_path(spark, "published-lines")
+    paths = job.order_feed(tables.dirty_orders_feed(spark, sf_dir), path)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    read = {}
+    for key, stored in paths.items():
+        write_stored_lines(spark, stored, f"{path}/text/{key}", files)
+        read[key] = read_ordered_lines(spark, f"{path}/text/{key}", f"{path}/read/{key}")
+    return ordering.keyed(read)
+
+
+def _stream_three_orderings(spark, sf_dir):
+    path = scratch.new_path(spark, "stream-orderings")
+    write_feed(tables.dirty_orders_feed(spark, sf_dir), f"{path}/feed", STREAM_FILE_ROWS)
+    paths = job.order_stream(stream_feed(spark, f"{path}/feed", 2), path)
+    return ordering.keyed({key: ordering.read_ordering(spark, p) for key, p in paths.items()})
+
+
+def _lines_to_orderings(spark, sf_dir):
+    path = scratch.new_path(spark, "lines-feed")
+    write_lines(tables.dirty_orders_feed(spark, sf_dir), f"{path}/text")
+    return job.three_orderings(lines_feed(spark, f"{path}/text", f"{path}/feed"), f"{path}/orderings")
+
+
 def _write_runs(spark, sf_dir):
     path = scratch.new_path(spark, "runs")
     write_runs(runs.sorted_runs(_dirty(spark, sf_dir), FLUSH), path)
@@ -278,6 +348,12 @@ QUERIES: dict[str, Query] = {
     "shard_quota_dirty": _shard_quota_dirty,
     "stream_sort": _stream_sort,
     "publish_ordering": _publish_ordering,
+    "publish_lines": _publish_lines,
+    "stream_three_orderings": _stream_three_orderings,
+    "lines_to_orderings": _lines_to_orderings,
+    "reconcile_faults": _reconcile_faults,
+    "verify_faults": _verify_faults,
+    "verify_head_faults": _verify_head_faults,
     "write_runs": _write_runs,
     "write_feed": _write_feed,
 }

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.contract import FEED_COLUMNS, sort_columns
-from feedloom.operators.ordering import in_order
+from feedloom.operators.ordering import in_order, in_stretches
 from feedloom.operators.sizing import table_options
 
 
@@ -36,17 +36,23 @@ def write_ordered_lines(records: DataFrame, key: str, path: str, ranges: int | N
     ).text(path)
 
 
+def write_stored_lines(spark: SparkSession, stored: str, path: str, files: int) -> None:
+    """The lines of a stored ordering as ``files`` texts of like length; files in order of
+    name, lines in order within."""
+    in_stretches(spark, stored, files).select("raw").write.mode("overwrite").option(
+        "lineSep", "\n"
+    ).text(path)
+
+
 def write_runs(runs: DataFrame, path: str) -> None:
     """Sorted runs under one folder per key and partition.
 
-    The range shuffle gives each task neighbouring runs only, so the number of
-    files is about that of the tasks, not tasks times folders, and a partition
+    ``sorted_runs`` leaves neighbouring runs only in each task, so nothing is shuffled
+    here: the number of files is about that of the tasks times the keys, and a partition
     that holds a third of all rows is written by a third of the tasks.
     """
-    order = ["key", "partition", "run", "pos_in_run"]
     (
-        runs.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        runs.sortWithinPartitions("key", "partition", "run", "pos_in_run")
         .write.mode("overwrite")
         .options(**table_options("raw", "offset", "pos_in_run"))
         .partitionBy("key", "partition")

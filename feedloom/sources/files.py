@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.contract import FEED_COLUMNS, FEED_SCHEMA
@@ -38,6 +38,44 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     The reader's own line separator also splits at a lone ``\\r`` and so would
     tear a record in two.
     """
-    lines = spark.read.option("lineSep", "\n").text(path)
+    lines = _raw_lines(spark, path)
     bare = F.regexp_replace("value", r"\r\z", "")
     return lines.select(F.when(F.col("value").endswith("\r"), bare).otherwise(F.col("value")).alias("line"))
+
+
+def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(path)
+
+
+def lines_feed(spark: SparkSession, path: str, store: str) -> DataFrame:
+    """Text lines as a feed, stored in ``store`` with a place for each.
+
+    A line's partition is the task that read it, its offset the number of the row there.
+    The place is written with the line, once: another scan may deal the files otherwise.
+    """
+    lines = scan_lines(spark, path).select(F.col("line").alias("value"), *_places())
+    lines.withColumn("timestamp", F.lit(None).cast("timestamp")).write.mode("overwrite").parquet(store)
+    return scan_feed(spark, store)
+
+
+def _places() -> list:
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return [F.spark_partition_id().alias("partition"), row.alias("offset")]
+
+
+def read_ordered_lines(spark: SparkSession, path: str, store: str) -> DataFrame:
+    """``pos, raw`` of texts whose order is that of file names and of lines within.
+
+    The lines are stored in ``store`` with the split of the file they come from and their
+    row in it. One window runs over the splits, which are far fewer than lines.
+    """
+    split = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    _raw_lines(spark, path).select(F.col("value").alias("raw"), *split, *_places()).write.mode(
+        "overwrite"
+    ).parquet(store)
+    rows = spark.read.parquet(store)
+    splits = rows.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("offset").alias("first"))
+    before = F.sum("n").over(Window.orderBy("file", "block")) - F.col("n")
+    start = splits.select("file", "block", (before - F.col("first") + 1).alias("start"))
+    pos = (F.col("start") + F.col("offset")).cast("bigint")
+    return rows.join(start, ["file", "block"]).select(pos.alias("pos"), "raw")
