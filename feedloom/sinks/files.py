@@ -38,7 +38,7 @@ def write_ordered_lines(records: DataFrame, key: str, path: str, ranges: int | N
 
 def write_stored_lines(spark: SparkSession, stored: str, path: str, files: int) -> None:
     """The lines of a stored ordering as ``files`` texts of like length; files in order of
-    name, lines in order within."""
+    name, lines in order within. Text cannot give back a record that contains a newline."""
     in_stretches(spark, stored, files).select("raw").write.mode("overwrite").option(
         "lineSep", "\n"
     ).text(path)
