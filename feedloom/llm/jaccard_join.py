@@ -20,7 +20,9 @@ prefixes nearly always end. What is left of a short class is filled by hash.
    do. Then all pairs that share a shingle, but not yet a component, are candidates. Pairs
    in one component change nothing, so no link between components is lost. These pairs
    pass a bitmap first: sets differ in at least as many shingles as the parities of their
-   shingles by BITS hash values do. Each is made at its first common shingle only.
+   shingles by BITS hash values do. Each is made at its first common shingle; the LOWEST
+   smallest shingles of each prefix tell that nearly always, so rows stay short however
+   long a prefix is, and what is made at a later one, too, is dropped as a repeat.
 
 A shingle that many documents of one Arrow batch share is sent once for the batch, with
 their list, so a hot shingle has a row for each batch and not for each document. Shingle
@@ -54,6 +56,8 @@ SIMILAR = 75
 CLASSES, FIRST = 8, 3
 #: Length of the parity bitmap, a power of two of 64 at least.
 BITS = 512
+#: Shingles of a prefix that are carried along to know a pair's first common one.
+LOWEST = 16
 #: More hubs are tried while more than so many pairs for a member of a token are left.
 FEW_PAIRS = 4
 #: Rounds of labels between hubs; a hub and its copies need two.
@@ -353,7 +357,8 @@ def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataF
             break
         hubs = main.where("hub is not null").select("token", "hub")
     words = [F.col("bits")[i].alias(f"bits{i}") for i in range(BITS // 64)]
-    known = first.select("node", "prefix").join(sets.select("node", *words), "node")
+    low = F.slice(F.sort_array("prefix"), 1, LOWEST).alias("low")
+    known = first.select("node", low).join(sets.select("node", *words), "node")
     detail = stored(
         now.join(main.select("token", "main"), "token").join(known, "node"), "jaccard-cross"
     )
@@ -368,7 +373,7 @@ def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataF
         & ((F.col("part_y") == F.col("main_y")) | (F.col("node_x") < F.col("node_y")))
         & _fits(F.col("node_x"), F.col("node_y"))
         & (both * (100 - SIMILAR) >= differ * (100 + SIMILAR))
-        & (F.array_min(F.array_intersect("prefix_x", "prefix_y")) == F.col("token_x")),
+        & (F.coalesce(F.array_min(F.array_intersect("low_x", "low_y")), F.col("token_x")) >= F.col("token_x")),
     ).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
     return components(_add_links(links, pairs, second, sets))
 
