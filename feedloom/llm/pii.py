@@ -4,12 +4,12 @@ Mail addresses, IP addresses, card and phone numbers are found by pattern. Each
 value is a protected entity. The words around it are candidates: over the whole corpus,
 the pointwise mutual information of word and entity, as a share of the entity's own
 information content, says how much of the entity the word discloses (1: whoever sees
-the word knows the entity). Words at or above a threshold, seen with the entity in
-enough different texts, are spans of kind ``term`` wherever they stand near that entity;
-sanitising generalises a name to ``[NAME]``, removes other terms, and puts the kind in
+the word knows the entity). Words at or above a threshold are spans of kind ``term``
+wherever they stand near that entity; there is no floor of texts, so that an entity
+written once is judged like others; sanitising generalises a name to ``[NAME]``, removes other terms, and puts the kind in
 the place of an entity.
 
-    share = log2(N * n_et / (n_e * n_t)) / log2(N / n_e)
+    share = log2(N / n_e * (n_et + SMOOTH * n_e / N) / (n_t + SMOOTH)) / log2(N / n_e)
 
 with N documents, n_e with the entity, n_t with the term, n_et with the term near it.
 
@@ -37,8 +37,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 8
 #: The share of an entity's information from which a term discloses it.
 SHARE = 0.75
-#: Different texts that must show term and entity together.
-SUPPORT = 3
+#: Texts without the entity that every term counts as having been seen in besides.
+SMOOTH = 0.5
 #: Words whose counts a worker holds before it passes them on.
 HELD_WORDS = 200_000
 
@@ -157,7 +157,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield part(counts)
 
 
-def find_spans(docs: DataFrame, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+def find_spans(docs: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, key, spans (start, kind, end) of every row; key is a hash of the text.
 
     ``kind`` is a place in KINDS; spans are ordered by start, kind, end.
@@ -173,17 +173,11 @@ def find_spans(docs: DataFrame, share: float = SHARE, support: int = SUPPORT) ->
     )
     total = found.count()
     pairs = found.where("size(near) > 0").select(
-        "key",
         F.explode(F.array_distinct(F.transform(
             "near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))
         ))).alias("pair"),
-    ).select("key", "pair.*")
-    by_text = pairs.groupBy("entity", "term", "key").agg(F.count(F.lit(1)).alias("n"))
-    together = (
-        by_text.groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n_et"))
-        .where(F.col("texts") >= support)
-    )
+    ).select("pair.*")
+    together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
     entities = (
         found.where("size(base) > 0")
         .select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
@@ -193,7 +187,8 @@ def find_spans(docs: DataFrame, share: float = SHARE, support: int = SUPPORT) ->
         F.sum("n").alias("n_t")
     )
     information = F.log2(F.lit(float(total)) / F.col("n_e")) if total else F.lit(0.0)
-    mutual = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    chance = (F.col("n_et") + SMOOTH * F.col("n_e") / F.lit(float(total or 1))) / (F.col("n_t") + SMOOTH)
+    mutual = F.log2(F.lit(float(total or 1)) / F.col("n_e") * chance)
     disclosed = stored(
         together.join(entities, "entity").join(words, "term")
         .where((information > 0) & (mutual >= F.lit(share) * information))

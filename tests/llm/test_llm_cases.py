@@ -194,6 +194,20 @@ def test_personal_data(spark, docs, none):
     assert pii.find_spans(none).count() == 0 and pii.sanitise(docs).count() == docs.count()
 
 
+def spans_of(spark, rows):
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.find_spans(texts).collect()}
+
+
+def test_terms_of_entities_that_occur_once_or_twice(spark):
+    once, twice = "call Zorblax at a@b.com today", "call Quimby at c@d.com today"
+    spans = spans_of(spark, [(0, once), (1, twice), (2, twice + " again")] + [
+        (10 + i, "call me again at noon today") for i in range(97)
+    ])
+    assert spans[0] == [(5, 4, 12), (16, 0, 23)] and spans[10] == []
+    assert spans[1] == spans[2] == [(5, 4, 11), (15, 0, 22)]
+
+
 def test_base_patterns():
     card = "4111 1111 1111 1111"
     assert [k for _, k, _ in pii.find_base(f"x@y.z 1.2.3.4 999.1.1.1 card {card} +49 (30) 1234567")] == [0, 1, 2, 3]
