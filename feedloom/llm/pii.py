@@ -1,17 +1,23 @@
 """Personal data, and the terms that give it away, by information content.
 
 Mail addresses, IP addresses, card and phone numbers are found by pattern. Each found
-value is a protected entity. The words around it are candidates: over the whole corpus,
-the pointwise mutual information of word and entity, as a share of the entity's own
-information content, says how much of the entity the word discloses (1: whoever sees
-the word knows the entity). Words at or above a threshold are spans of kind ``term``
-wherever they stand near that entity; there is no floor of texts, so that an entity
-written once is judged like others; sanitising generalises a name to ``[NAME]``, removes other terms, and puts the kind in
-the place of an entity.
+value is a protected entity. The words outside entities, in the whole of each text, are
+candidates: over the corpus, the pointwise mutual information of word and entity, as a
+share of the entity's own information content, says how much of the entity the word
+discloses (1: whoever sees the word knows the entity). A word at or above a threshold for
+any entity is a span of kind ``term`` wherever it stands outside entities, in documents
+with the entity and in others; there is no floor of texts, so that an entity written once
+is judged like others. Sanitising generalises a name to ``[NAME]``, removes other terms,
+and puts the kind in the place of an entity.
 
     share = log2(N / n_e * (n_et + SMOOTH * n_e / N) / (n_t + SMOOTH)) / log2(N / n_e)
 
-with N documents, n_e with the entity, n_t with the term, n_et with the term near it.
+with N documents, n_e with the entity, n_t with the term outside entities, n_et with both.
+
+Pairs are left out before they are counted only where ``n_t`` is so large that no ``n_et``
+could reach the threshold. Words and entities in more than FREQUENT of all documents are
+a bounded number whatever N is, and known to all workers; other disclosing terms are
+looked up by a bitmap and then joined, so that the bitmap decides nothing.
 
 Defined cases: a null text is an empty one, without spans; a null doc_id is a value like
 others; repeated rows each count as a document and have the same spans; an entity in all
@@ -22,7 +28,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,12 +39,14 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import sliced, stored, text_of
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words on either side of an entity that are looked at.
-WINDOW = 8
 #: The share of an entity's information from which a term discloses it.
 SHARE = 0.75
 #: Texts without the entity that every term counts as having been seen in besides.
 SMOOTH = 0.5
+#: The share of all documents from which a word or an entity is frequent.
+FREQUENT = 0.001
+#: Bits of the bitmap for each term, and at most.
+BITS, MOST_BITS = 64, 1 << 28
 #: Words whose counts a worker holds before it passes them on.
 HELD_WORDS = 200_000
 
@@ -98,49 +106,44 @@ def _entity(kind: int, found: str) -> str:
     return f"{KINDS[kind]}:{value}"
 
 
-def _near(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[str, str, int, int]]:
-    """(entity, term, start, end) for the words around each entity."""
-    words = [m.span() for m in _WORD.finditer(text)]
-    starts = [start for start, _ in words]
-    taken: list[list[int]] = []  # merged, so that only one can reach into a word
-    for start, _, end in base:
-        if taken and start <= taken[-1][1]:
-            taken[-1][1] = max(taken[-1][1], end)
-        else:
-            taken.append([start, end])
-    for start, kind, end in base:
-        entity = _entity(kind, text[start:end])
-        left, right = bisect_left(starts, start), bisect_left(starts, end)
-        for a, b in words[max(0, left - WINDOW) : left] + words[right : right + WINDOW]:
-            i = bisect_left(taken, [b, 0])
-            if not i or taken[i - 1][1] <= a:
-                yield entity, text[a:b].lower(), a, b
+def _free_words(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of the words that no entity reaches into."""
+    entities = iter(base)
+    end, following = -1, next(entities, None)
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        while following and following[0] < b:
+            end, following = max(end, following[2]), next(entities, None)
+        if end <= a:
+            yield m[0].lower(), a, b
 
 
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-_NEAR = pa.list_(pa.struct([
-    ("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
-]))
+_TEXTS = pa.list_(pa.string())
+_PLACES = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         texts = batch["text"].to_pylist()
         base = [find_base(text) for text in texts]
-        near = [list(_near(text, b)) if b else [] for text, b in zip(texts, base, strict=True)]
-        named = lambda rows, names: [[dict(zip(names, x, strict=True)) for x in row] for row in rows]
+        spans = [[dict(zip(("start", "kind", "end"), s, strict=True)) for s in row] for row in base]
+        entities = [
+            sorted({_entity(kind, text[start:end]) for start, kind, end in b})
+            for text, b in zip(texts, base, strict=True)
+        ]
+        terms = [
+            sorted({term for term, _, _ in _free_words(text, b)}) if b else []
+            for text, b in zip(texts, base, strict=True)
+        ]
         yield pa.RecordBatch.from_arrays(
-            [
-                batch["doc_id"], batch["key"],
-                pa.array(named(base, ("start", "kind", "end")), _SPAN),
-                pa.array(named(near, ("entity", "term", "start", "end")), _NEAR),
-            ],
-            ["doc_id", "key", "base", "near"],
+            [batch["doc_id"], batch["key"], pa.array(spans, _SPAN), pa.array(entities, _TEXTS), pa.array(terms, _TEXTS)],
+            ["doc_id", "key", "base", "entities", "terms"],
         )
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many texts each word is, in parts that later are added up."""
+    """In how many texts each word stands outside entities, in parts that later are added up."""
 
     def part(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -150,66 +153,156 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in sliced(batches):
         for text in batch["text"].to_pylist():
-            counts.update(set(_WORD.findall(text.lower())))
+            counts.update({term for term, _, _ in _free_words(text, find_base(text))})
         if len(counts) > HELD_WORDS:
             yield part(counts)
             counts = Counter()
     yield part(counts)
 
 
+def _together(found: DataFrame, entities: DataFrame, words: DataFrame, total: int, share: float) -> DataFrame:
+    """entity, term, n_et; without pairs that are too common to reach ``share``."""
+    frequent = FREQUENT * total
+    # With all of a rare entity's documents, a term in more documents than this stays below.
+    bound = (frequent + SMOOTH * FREQUENT) / FREQUENT ** (1 - share) - SMOOTH if share > 0 else float("inf")
+    often = frozenset(r["entity"] for r in entities.where(F.col("n_e") > frequent).select("entity").collect())
+    common = frozenset(r["term"] for r in words.where(F.col("n_t") > bound + 1e-6 * total).select("term").collect())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of: list[str] = []
+        with_it: list[str] = []
+        for batch in sliced(batches):
+            for here, terms in zip(batch["entities"].to_pylist(), batch["terms"].to_pylist(), strict=True):
+                rare = [term for term in terms if term not in common]
+                for entity in here:
+                    seen = terms if entity in often else rare
+                    of += [entity] * len(seen)
+                    with_it += seen
+                    if len(of) >= 20_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(with_it)], ["entity", "term"])
+                        of, with_it = [], []
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(of, pa.string()), pa.array(with_it, pa.string())], ["entity", "term"]
+        )
+
+    pairs = found.where("size(entities) > 0").select("entities", "terms").mapInArrow(run, "entity string, term string")
+    return pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
+
+
+def _disclosing(found: DataFrame, rows: DataFrame, total: int, share: float) -> DataFrame:
+    """term, n_t of every term that discloses some entity."""
+    entities = stored(
+        found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")),
+        "pii-entities",
+    )
+    words = stored(
+        rows.select("text").mapInArrow(_count_words, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t")),
+        "pii-words",
+    )
+    information = F.log2(F.lit(float(total)) / F.col("n_e"))
+    chance = (F.col("n_et") + SMOOTH * F.col("n_e") / F.lit(float(total))) / (F.col("n_t") + SMOOTH)
+    mutual = F.log2(F.lit(float(total)) / F.col("n_e") * chance)
+    return stored(
+        _together(found, entities, words, total, share).join(entities, "entity").join(words, "term")
+        .where((information > 0) & (mutual >= F.lit(share) * information))
+        .groupBy("term").agg(F.max("n_t").alias("n_t")),
+        "pii-disclosing",
+    )
+
+
+def _bitmap(terms: DataFrame) -> bytes:
+    """A bit for the checksum of each term; a power of two of bits."""
+    bits = 1 << 15
+    wanted = min(MOST_BITS, BITS * terms.count())
+    while bits < wanted:
+        bits *= 2
+    place = F.pmod(F.crc32("term"), F.lit(bits))
+    blocks = terms.select(place.alias("place")).groupBy(F.expr("place div 32768").alias("block")).agg(
+        F.expr("bitmap_construct_agg(place % 32768)").alias("bits")
+    )
+    whole = bytearray(bits // 8)
+    for row in blocks.collect():
+        whole[row["block"] * 4096 : (row["block"] + 1) * 4096] = row["bits"]
+    return bytes(whole)
+
+
+def _occurrences(rows: DataFrame, disclosing: DataFrame, total: int) -> DataFrame:
+    """of, key, places: where disclosing terms stand outside entities; several rows of a text."""
+    is_often = F.col("n_t") > FREQUENT * total
+    often = frozenset(r["term"] for r in disclosing.where(is_often).select("term").collect())
+    rare = disclosing.where(~is_often).select("term")
+    bitmap = _bitmap(rare)
+    mask = 8 * len(bitmap) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+
+        def look(term: str) -> int:
+            """2: discloses; 1: may disclose; 0: does not."""
+            if len(known) >= HELD_WORDS:
+                known.clear()
+            place = zlib.crc32(term.encode("utf-8", "surrogatepass")) & mask
+            known[term] = found = 2 if term in often else bitmap[place >> 3] >> (place & 7) & 1
+            return found
+
+        for batch in sliced(batches):
+            out: list[tuple] = []
+            for of, key, text in zip(*(batch[c].to_pylist() for c in ("of", "key", "text")), strict=True):
+                # Without entities first: most texts have no such word.
+                if not any(known.get(w, -1) or look(w) for w in map(str.lower, set(_WORD.findall(text)))):
+                    continue
+                sure, may = [], {}
+                for term, start, end in _free_words(text, find_base(text)):
+                    state = known.get(term, -1)
+                    state = look(term) if state < 0 else state
+                    if state:
+                        (sure if state == 2 else may.setdefault(term, [])).append(
+                            {"start": start, "kind": 4, "end": end}
+                        )
+                out += [(of, key, None, sure)] * bool(sure) + [(of, key, term, at) for term, at in may.items()]
+            if out:
+                columns = zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.string(), _PLACES), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["of", "key", "term", "places"])
+
+    seen = stored(
+        rows.select("of", "key", "text").mapInArrow(
+            run, "of string, key long, term string, places array<struct<start:int,kind:int,end:int>>"
+        ),
+        "pii-seen",
+    )
+    sure = seen.where("term is null").drop("term")
+    return sure.unionByName(seen.where("term is not null").join(rare, "term").select("of", "key", "places"))
+
+
 def find_spans(docs: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, key, spans (start, kind, end) of every row; key is a hash of the text.
 
     ``kind`` is a place in KINDS; spans are ordered by start, kind, end.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).select(
+        "*", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("of"), F.xxhash64("text").alias("key")
+    )
     found = stored(
-        rows.withColumn("key", F.xxhash64("text")).mapInArrow(
+        rows.select("doc_id", "key", "text").mapInArrow(
             _find,
             "doc_id long, key long, base array<struct<start:int,kind:int,end:int>>,"
-            "near array<struct<entity:string,term:string,start:int,end:int>>",
+            "entities array<string>, terms array<string>",
         ),
         "pii-found",
     )
-    total = found.count()
-    pairs = found.where("size(near) > 0").select(
-        F.explode(F.array_distinct(F.transform(
-            "near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))
-        ))).alias("pair"),
-    ).select("pair.*")
-    together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    entities = (
-        found.where("size(base) > 0")
-        .select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    )
-    words = rows.select("text").mapInArrow(_count_words, "term string, n long").groupBy("term").agg(
-        F.sum("n").alias("n_t")
-    )
-    information = F.log2(F.lit(float(total)) / F.col("n_e")) if total else F.lit(0.0)
-    chance = (F.col("n_et") + SMOOTH * F.col("n_e") / F.lit(float(total or 1))) / (F.col("n_t") + SMOOTH)
-    mutual = F.log2(F.lit(float(total or 1)) / F.col("n_e") * chance)
-    disclosed = stored(
-        together.join(entities, "entity").join(words, "term")
-        .where((information > 0) & (mutual >= F.lit(share) * information))
-        .select("entity", "term"),
-        "pii-disclosed",
-    )
-    terms = (
-        found.where("size(near) > 0")
-        .select("doc_id", "key", F.explode("near").alias("x"))
-        .select("doc_id", "key", "x.*")
-        .join(disclosed, ["entity", "term"])
-        .groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("of"), F.col("key").alias("of_key"))
-        .agg(F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("terms"))
+    total = max(1, found.count())
+    marks = (
+        _occurrences(rows, _disclosing(found, rows, total, share), total)
+        .groupBy(F.col("of"), F.col("key").alias("of_key"))
+        .agg(F.flatten(F.collect_set("places")).alias("marks"))
     )
     return found.join(
-        terms,
+        marks,
         (F.coalesce(F.col("doc_id").cast("string"), F.lit("")) == F.col("of")) & (F.col("key") == F.col("of_key")),
         "left",
     ).select(
         "doc_id", "key", "base",
-        F.sort_array(F.concat("base", F.coalesce("terms", F.expr("array()").cast(
+        F.sort_array(F.concat("base", F.coalesce("marks", F.expr("array()").cast(
             "array<struct<start:int,kind:int,end:int>>"
         )))).alias("spans"),
     )

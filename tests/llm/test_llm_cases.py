@@ -208,6 +208,51 @@ def test_terms_of_entities_that_occur_once_or_twice(spark):
     assert spans[1] == spans[2] == [(5, 4, 11), (15, 0, 22)]
 
 
+def test_terms_are_marked_in_whole_texts_and_in_other_documents(spark):
+    far = "call Zorblax at a@b.com " + "one two three " * 5 + "then Quimby and zorblax"
+    spans = spans_of(spark, [(0, far), (1, "here Quimby is alone")] + [
+        (10 + i, "call here then one two three alone and today") for i in range(98)
+    ])
+    assert spans[0] == [(5, 4, 12), (16, 0, 23)] + [
+        (far.index(w), 4, far.index(w) + len(w)) for w in ("Quimby", "zorblax")
+    ]
+    assert spans[1] == [(5, 4, 11)] and spans[10] == []
+
+
+def test_spans_by_brute_force(spark, monkeypatch):
+    import random
+    from math import log2
+
+    monkeypatch.setattr(pii, "FREQUENT", 0.02)  # both ways: of frequent and of other ones
+    draw = random.Random(5)
+    names = ["".join(draw.choices("abcdefghij", k=4)) for _ in range(400)]
+    rows = []
+    for i in range(400):
+        words = [names[int(400 * draw.random() ** 2)] for _ in range(12)]
+        if i % 3 == 0:
+            words.insert(draw.randrange(12), f"u{draw.randrange(9)}@{names[0]}.com")
+            words.insert(0, f"+49 30 {1000000 + i // 9}")
+        rows.append((i, " ".join(words)))
+    holds, free, places = {}, {}, {}
+    for i, text in rows:
+        base = pii.find_base(text)
+        holds[i] = {pii._entity(kind, text[a:b]) for a, kind, b in base}
+        places[i] = [
+            (m.start(), 4, m.end()) for m in pii._WORD.finditer(text)
+            if not any(a < m.end() and m.start() < b for a, _, b in base)
+        ]
+        free[i] = {text[a:b] for a, _, b in places[i]}
+    n_e, n_t = Counter(e for x in holds.values() for e in x), Counter(t for x in free.values() for t in x)
+    n_et = Counter((e, t) for i in holds for e in holds[i] for t in free[i])
+    disclosing = {
+        t for (e, t), n in n_et.items()
+        if log2(400 / n_e[e] * (n + 0.5 * n_e[e] / 400) / (n_t[t] + 0.5)) >= 0.75 * log2(400 / n_e[e])
+    }
+    assert disclosing and len(disclosing) < len(n_t)
+    expected = {i: sorted(pii.find_base(t) + [p for p in places[i] if t[p[0] : p[2]] in disclosing]) for i, t in rows}
+    assert spans_of(spark, rows) == expected
+
+
 def test_base_patterns():
     card = "4111 1111 1111 1111"
     assert [k for _, k, _ in pii.find_base(f"x@y.z 1.2.3.4 999.1.1.1 card {card} +49 (30) 1234567")] == [0, 1, 2, 3]
