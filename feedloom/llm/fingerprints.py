@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import sliced, text_of
 
-GRAM = 16
-WINDOW = 48
+GRAM = 8
+WINDOW = 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _SCRAMBLE = np.uint64(0xBF58476D1CE4E5B9)
 
