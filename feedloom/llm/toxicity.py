@@ -4,7 +4,11 @@ The lexicon (whole words, and stems that any ending may follow) is learnt from l
 documents: terms that are in toxic ones far more often than in others, with the log of that ratio as weight. It is kept as a
 trie. Matching intersects the trie with the Levenshtein automaton of a word: a state is a
 set of (trie node, edits so far), made when first met and kept, so a word costs one step
-per letter and most words leave the trie after a few. The first letter must be right.
+per letter and most words leave the trie after a few. It starts at the root, so the first
+letter may be wrong, missing or one too many. Letters of terms of any length may be masked
+(``*``) or written as something that looks alike; such a hit counts as misspelled, and
+at least half of the word must be letters. Signs around a word may belong to it (``@ss``)
+or not (``*ass*``): the nearest reading counts.
 
 Each hit is looked at in a window of words: inside quotation marks or beside words of
 reporting it counts as quoted, beside words of address as aimed at somebody. Counts of
@@ -46,7 +50,11 @@ CLOSE = 0.7
 WINDOW = 6
 CACHED_WORDS = 400_000
 
-TOKEN = re.compile(r"[^\W_](?:[^\W_]|[*@$!'](?=[^\W_]))*|[\"“”„«»]")
+TOKEN = re.compile(r"(?:[*@$]+(?=[^\W_]))?[^\W_](?:[^\W_]|(?:[*@$]+|[!'])(?=[^\W_]))*\**|[\"“”„«»]")
+#: Signs that can be a part of a word or stand around it.
+SIGNS = "*@$"
+#: What a sign, digit or letter may stand for; ``*`` for anything.
+ALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "v": "u"}
 QUOTES = frozenset("\"“”„«»")
 REPORTING = frozenset(
     "said says wrote writes called quote quoted quotes word words term terms "
@@ -88,8 +96,7 @@ class Automaton:
         self.items: list[tuple[dict[int, int], tuple[int, int] | None]] = []
         self.steps: list[dict[str, int]] = []
         self.accepted: list[tuple[int, int] | None] = []
-        first = {char: self._state({child: 0}, None) for char, child in self.children[0].items()}
-        self.first = first
+        self.start = self._state({0: 0}, None)
 
     def _best(self, nodes: dict[int, int], stems: bool) -> tuple[int, int] | None:
         """(edits, term) of the best term that ends in one of the nodes."""
@@ -123,9 +130,10 @@ class Automaton:
         nodes, stem = self.items[state]
         after: dict[int, int] = {}
         for node, edits in nodes.items():
-            child = self.children[node].get(char)
-            if child is not None:
-                after[child] = min(edits, after.get(child, 99))
+            meant = self.children[node] if char == "*" else char + ALIKE.get(char, "")
+            for child in filter(None, map(self.children[node].get, meant)):
+                if edits <= self.most[child]:
+                    after[child] = min(edits, after.get(child, 99))
             if edits < self.most[node]:
                 after[node] = min(edits + 1, after.get(node, 99))  # one letter too many
                 for other in self.children[node].values():  # another letter
@@ -136,13 +144,18 @@ class Automaton:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(edits, place in the lexicon) of the nearest term."""
-        state = self.first.get(word[0], -1)
-        for char in word[1:]:
+        if 2 * sum(map(str.isalpha, word)) < len(word):
+            return None
+        state = self.start
+        for char in word:
             if state < 0:
                 return None
             to = self.steps[state].get(char)
             state = self._step(state, char) if to is None else to
-        return self.accepted[state] if state >= 0 else None
+        found = self.accepted[state] if state >= 0 else None
+        if found and not found[0] and not word.startswith(self.lexicon[found[1]][0]):
+            return 1, found[1]  # masked letters are no edits, but not the term itself
+        return found
 
 
 class _Words(dict):
@@ -154,7 +167,8 @@ class _Words(dict):
     def __missing__(self, word: str):
         if len(self) >= CACHED_WORDS:
             self.clear()
-        self[word] = found = self.automaton.match(word)
+        read = {word, word.lstrip(SIGNS), word.rstrip(SIGNS), word.strip(SIGNS)}
+        self[word] = found = min(filter(None, map(self.automaton.match, read)), default=None)
         return found
 
 
@@ -166,6 +180,7 @@ def features(text: str, words: _Words) -> list[float]:
     and the heaviest hit."""
     tokens = TOKEN.findall(text.lower())
     hits = [(i, hit) for i, hit in enumerate(map(words.__getitem__, tokens)) if hit]
+    tokens = [token.strip(SIGNS) for token in tokens]
     exact = fuzzy = quoted = aimed = heaviest = 0.0
     open_quote = {}
     if hits:
@@ -220,7 +235,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in sliced(batches):
         for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-            words = {w for w in TOKEN.findall(text.lower()) if len(w) >= 3}
+            words = {w for w in (t.strip(SIGNS) for t in TOKEN.findall(text.lower())) if len(w) >= 3}
             counts.update((word, False, toxic) for word in words)
             counts.update((stem, True, toxic) for stem in {w[:k] for w in words for k in STEMS if len(w) > k})
         if len(counts) > 300_000:
