@@ -58,6 +58,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\W\d_]{3,}")
+_LETTER = re.compile(r"[^\W\d_]")
 _DIGITS = re.compile(r"[^0-9]")
 
 
@@ -119,6 +120,16 @@ def _free_words(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[s
 
 
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
+def _places(text: str, word: str) -> Iterator[tuple[int, int]]:
+    """Where the word stands as a whole run of letters."""
+    start = text.find(word)
+    while start >= 0:
+        end = start + len(word)
+        if not (start and _LETTER.match(text, start - 1)) and not _LETTER.match(text, end):
+            yield start, end
+        start = text.find(word, end)
+
+
 _TEXTS = pa.list_(pa.string())
 _PLACES = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 
@@ -153,7 +164,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in sliced(batches):
         for text in batch["text"].to_pylist():
-            counts.update({term for term, _, _ in _free_words(text, find_base(text))})
+            base = find_base(text)
+            # Words are runs of letters, so those of most texts need no places.
+            words = (term for term, _, _ in _free_words(text, base)) if base else map(str.lower, _WORD.findall(text))
+            counts.update(set(words))
         if len(counts) > HELD_WORDS:
             yield part(counts)
             counts = Counter()
@@ -248,17 +262,26 @@ def _occurrences(rows: DataFrame, disclosing: DataFrame, total: int) -> DataFram
         for batch in sliced(batches):
             out: list[tuple] = []
             for of, key, text in zip(*(batch[c].to_pylist() for c in ("of", "key", "text")), strict=True):
-                # Without entities first: most texts have no such word.
-                if not any(known.get(w, -1) or look(w) for w in map(str.lower, set(_WORD.findall(text)))):
-                    continue
-                sure, may = [], {}
-                for term, start, end in _free_words(text, find_base(text)):
+                hits = {}
+                for word in set(_WORD.findall(text)):
+                    term = word.lower()
                     state = known.get(term, -1)
                     state = look(term) if state < 0 else state
                     if state:
-                        (sure if state == 2 else may.setdefault(term, [])).append(
-                            {"start": start, "kind": 4, "end": end}
-                        )
+                        hits[word] = state
+                if not hits:
+                    continue
+                sure, may, base = [], {}, find_base(text)
+                if base:
+                    states = {word.lower(): state for word, state in hits.items()}
+                    places = ((t, a, b) for t, a, b in _free_words(text, base) if t in states)
+                else:
+                    states = hits
+                    places = ((word, a, b) for word in hits for a, b in _places(text, word))
+                for word, start, end in places:
+                    (sure if states[word] == 2 else may.setdefault(word.lower(), [])).append(
+                        {"start": start, "kind": 4, "end": end}
+                    )
                 out += [(of, key, None, sure)] * bool(sure) + [(of, key, term, at) for term, at in may.items()]
             if out:
                 columns = zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.string(), _PLACES), strict=True)
