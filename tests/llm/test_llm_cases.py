@@ -219,6 +219,13 @@ def test_terms_are_marked_in_whole_texts_and_in_other_documents(spark):
     assert spans[1] == [(5, 4, 11)] and spans[10] == []
 
 
+def test_documents_of_only_an_address_count_for_its_entity(spark):
+    spans = spans_of(spark, [(i, "see Zorblax now, a@b.com" if i < 3 else "see Zorblax now") for i in range(6)] + [
+        (10 + i, "a@b.com") for i in range(20)
+    ] + [(40 + i, "see now") for i in range(74)])
+    assert spans[0] == [(17, 0, 24)] and spans[5] == [] and spans[10] == [(0, 0, 7)]
+
+
 def test_spans_by_brute_force(spark, monkeypatch):
     import random
     from math import log2
