@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,22 @@ def crc_mod(name: str, by: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(name).cast("string"), F.lit(""))), F.lit(by))
 
 
-def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut into slices, so that what is computed of one stays small."""
-    return chain.from_iterable(
-        (batch.slice(i, rows) for i in range(0, batch.num_rows, rows)) for batch in batches
-    )
+#: Bytes of texts that one slice may hold; a longer text is a slice of its own.
+SLICE_BYTES = 8 << 20
+
+
+def sliced(
+    batches: Iterator[pa.RecordBatch], rows: int = 512, most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut by rows and by bytes, so that what is computed of a slice stays small."""
+    for batch in batches:
+        texts = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_binary(c.type)]
+        sizes = sum((pc.binary_length(c).fill_null(0).to_numpy().astype(np.int64) for c in texts),
+                    np.zeros(batch.num_rows, np.int64))
+        ends, start = np.cumsum(sizes), 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            fits = int(np.searchsorted(ends, before + most, "right"))
+            stop = max(start + 1, min(start + rows, fits))
+            yield batch.slice(start, stop - start)
+            start = stop

@@ -1,11 +1,14 @@
-"""The ten queries and the pipeline, with production parameters on whole tables."""
+"""The thirteen queries, with production parameters on whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import byte_bpe, chat, exact_dedup, fingerprints, jaccard_join, langid, licenses, mixing, pii, toxicity
+from feedloom.llm import (
+    byte_bpe, chat, exact_dedup, fingerprints, hard_negatives, jaccard_join, langid, licenses,
+    line_dedup, mixing, pii, prefix_trie, toxicity,
+)
 from feedloom.llm.common import crc_mod, table
 
 
@@ -106,6 +109,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_lines(
+        table(spark, sf_dir, "documents"), min_docs=10, min_chars=1, keep_first=False
+    )
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), moved.alias("label"), "embedding"
+    )
+    return hard_negatives.mine(hard_negatives.whole_vectors(vectors))
+
+
 def all_queries() -> dict:
     return {
         name: function for name, function in globals().items()

@@ -14,8 +14,8 @@ SMALL = "/root/testdata/sf0.001"
 QUERIES = queries.all_queries()
 
 
-def test_ten_queries():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(oracles.all_oracles()))
@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, name):
 def test_queries_have_a_row_for_each_document(spark):
     ids = sorted(r[0] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id").collect())
     for name, query in QUERIES.items():
-        if name != "op5_chat":
+        if name not in ("op5_chat", "op11_prefix_trie", "op13_hard_negatives"):
             assert sorted(r[0] for r in query(spark, SMALL).select("doc_id").collect()) == ids, name
 
 
