@@ -261,9 +261,10 @@ def rollup(nodes: DataFrame, walk: DataFrame, part_nodes: int = PART_NODES) -> D
     root = nodes.where("depth = 0").select("node").first()
     added = {name: F.lit(0).cast("long").alias(f"add_{name}") for name in _VALUES}
     columns = [*key, "parent", "n_convs", "under", *_VALUES, *[f"add_{name}" for name in _VALUES], *part]
-    live = nodes.select(
+    first = nodes.select(
         *columns[:7], *added.values(), F.lit(root and root["node"]).cast("long").alias("top"), F.lit(0).alias("top_depth")
     )
+    live = stored(first, "trie-parts")
     small, finished = [], []
     while True:
         # A component's weight is what its top has under it, the most of all its nodes.

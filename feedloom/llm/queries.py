@@ -88,10 +88,11 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for k, kind in enumerate(pii.KINDS[:4])
-    ]
+
+    def count_of(k: int):  # a second parameter of the lambda would be the place in the array
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+
+    counts = [count_of(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS[:4])]
     return found.select(
         "doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"),
         pii.as_text("spans").alias("spans"),
