@@ -9,7 +9,7 @@ from feedloom import scratch
 from feedloom.contract import BAD_ID, MISSING_FIELD_1, MISSING_FIELD_2, MISSING_FIELD_3
 from feedloom.functions.lines import fingerprint
 from feedloom.functions.numbers import floor_div
-from feedloom.operators.sizing import with_summary
+from feedloom.operators.sizing import join_summary, stored_rows
 
 
 def intake_stats(parsed: DataFrame) -> DataFrame:
@@ -159,10 +159,10 @@ def idle_cut(records: DataFrame, idle_seconds: int) -> DataFrame:
 
     A record without a timestamp says nothing about silences and stays.
     """
-    cuts = idle_cuts(records, idle_seconds)
+    cuts = stored_rows(idle_cuts(records, idle_seconds), "idle-cuts")[0]
     before_cut = F.coalesce(F.unix_micros("timestamp") < F.col("cut_micros"), F.lit(True))
     return (
-        with_summary(records, cuts, ["partition"], "left")
+        join_summary(records, cuts, ["partition"], "left")
         .filter(before_cut)
         .select(*records.columns)
     )

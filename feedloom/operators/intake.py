@@ -14,9 +14,9 @@ PLACE = ("partition", "offset", "timestamp")
 def _cut(feed: DataFrame) -> DataFrame:
     """The line, its first one, two and three fields, and its id.
 
-    Each is a column of its own, used more than once later: Catalyst keeps such
-    projections apart and so computes each expression once per row. A message
-    without a value is an empty line.
+    Each is a column of its own, used more than once later. Above a filter Catalyst may
+    write such an expression out again where it is used, so some are computed twice for a
+    row. A message without a value is an empty line.
     """
     raw = F.col("raw")
     return (

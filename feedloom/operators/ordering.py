@@ -3,28 +3,42 @@
 ``store_ordering`` sorts with one range shuffle and stamps each row with its place:
 the number of the sorted partition, ``bucket``, and the number of the row in it. The
 place is written with the rows, so it can never disagree with a second evaluation of
-the sort. A second small table counts the rows per bucket; joined to it, the place
-becomes the dense position 1..n without another shuffle or a single-task window.
+the sort. A second small table counts the rows per piece, a stretch of a sorted partition;
+joined to it, the place becomes the dense position 1..n without another shuffle or a
+single-task window.
+
+``extend_ordering`` adds a batch: only the pieces into which new records fall are written
+again, as pieces of a new generation, and a new table of pieces gives all positions.
+
+    path/rows/gen=G    the rows that generation G has written
+    path/pieces/v=V    the pieces of version V, in order
+    path/total         a row per finished version, written last
+
+The last version in ``total`` is the ordering. Without one, it is not finished.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom import scratch
 from feedloom.contract import HEAD_SIZE, sort_columns
 from feedloom.functions import lines
 from feedloom.functions.numbers import floor_div
-from feedloom.operators.sizing import table_options
+from feedloom.operators.ranges import deal, key_of, range_of
+from feedloom.operators.sizing import ranges_for, stored_rows, table_options
 
 # monotonically_increasing_id counts the rows of a partition in its 33 low bits.
 ROW_MASK = (1 << 33) - 1
 
-TOTAL = "n BIGINT"
-BUCKETS = "bucket INT, n BIGINT, before BIGINT"
+TOTAL = "version INT, n BIGINT, batch BIGINT"
+# ``target`` is the piece of the version before in which new and old rows met; 0 at first.
+PLACE = ("gen", "bucket", "target")
+PIECES = "gen INT, bucket INT, target INT, n BIGINT, first_row BIGINT, piece INT, before BIGINT"
 CONTENT = ("raw", "id", "name", "continent", "partition", "offset")
 
 
@@ -36,74 +50,105 @@ def in_order(records: DataFrame, key: str, ranges: int | None = None) -> DataFra
     return records.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
 
 
+def _lean(records: DataFrame, key: str) -> DataFrame:
+    """What the sort needs and no more: the line has all the rest."""
+    return records.select("raw", *sort_columns(key))
+
+
+def _measured(records: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """Lean records, made once, and the bytes of their lines."""
+    size = F.coalesce(F.sum(F.octet_length("raw").cast("bigint")), F.lit(0))
+    rows, seen = stored_rows(_lean(records, key), f"lean-{key}", {"bytes": size}, **table_options("raw", "offset"))
+    return rows, seen["bytes"]
+
+
 def store_ordering(
-    records: DataFrame, key: str, path: str, ranges: int | None = None
+    records: DataFrame, key: str, path: str, ranges: int | None = None,
+    bounds: list | None = None, batch: int = -1,
 ) -> None:
     """Write ``records`` in the order of ``key``, one file sequence per sorted partition.
 
-    ``path/rows`` holds the rows, ``path/buckets`` the rows per sorted partition, and
-    ``path/total`` one row with their number. The total is emptied first and written
-    last: without it an ordering is not finished, and ``read_ordering`` and
-    ``read_head`` refuse it, also when an older ordering was there.
+    The number of ranges is measured if it isn't given. With ``bounds`` (rows of
+    ``ranges.key_of``, in order) ranges are cut there and nothing is sampled.
     """
-    spark = records.sparkSession
     sort_columns(key)
-    _write_total(spark.createDataFrame([], TOTAL), path)
-    _write_buckets(spark.range(0).select(F.col("id").cast("int").alias("bucket")), path)
-    # What the sort does not need is not carried through the shuffle: the line has it.
-    lean = records.select("raw", *sort_columns(key))
-    place = {
-        "bucket": F.spark_partition_id(),
-        "row": F.monotonically_increasing_id().bitwiseAND(ROW_MASK),
-    }
+    rows = _lean(records, key)
+    if bounds is not None:
+        in_place = deal(rows, key, bounds)
+    else:
+        if ranges is None:
+            rows, raw_bytes = _measured(records, key)
+            ranges = ranges_for(raw_bytes)
+        in_place = in_order(rows, key, ranges)
+    for part in ("total", "pieces", "rows"):
+        scratch.remove(records.sparkSession, f"{path}/{part}")
+    _write_rows(in_place.withColumn("target", F.lit(0)), path, 0)
+    _publish(records.sparkSession, path, _counted(records.sparkSession, path, 0), 0, batch)
+
+
+def _write_rows(in_place: DataFrame, path: str, gen: int) -> None:
+    place = {"bucket": F.spark_partition_id(), "row": F.monotonically_increasing_id().bitwiseAND(ROW_MASK)}
     (
-        in_order(lean, key, ranges)
-        .select(*[column.alias(name) for name, column in place.items()], "*")
-        .write.mode("overwrite").options(**table_options("row", "raw", "offset")).parquet(f"{path}/rows")
-    )
-    _write_buckets(spark.read.schema("bucket INT").parquet(f"{path}/rows"), path)
-    sizes = spark.read.schema(BUCKETS).parquet(f"{path}/buckets").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("n").alias("most")
+        in_place.select(*[column.alias(name) for name, column in place.items()], "*")
+        .write.mode("overwrite").options(**table_options("row", "raw", "offset")).parquet(f"{path}/rows/gen={gen}")
     )
-    if (sizes.first()["most"] or 0) > ROW_MASK:
+
+
+def _counted(spark: SparkSession, path: str, gen: int) -> list[Row]:
+    """The pieces of a generation. There are about as many as the sort had partitions.
+
+    Only columns are read that are constant in most files. The pieces of one sorted
+    partition follow each other in it by target.
+    """
+    rows = spark.read.schema("bucket INT, target INT").parquet(f"{path}/rows/gen={gen}")
+    found, held = [], {}
+    for p in sorted(rows.groupBy("bucket", "target").agg(F.count("*").alias("n")).collect()):
+        start = held.get(p["bucket"], 0)
+        held[p["bucket"]] = start + p["n"]
+        found.append(Row(gen=gen, first_row=start, **p.asDict()))
+    if max(held.values(), default=0) > ROW_MASK:
         raise ValueError("a sorted partition has too many rows to number; use more ranges")
-    _write_total(sizes.select("n"), path)
+    return sorted(found, key=lambda p: (p["target"], p["bucket"]))
 
 
-def _write_total(total: DataFrame, path: str) -> None:
-    total.coalesce(1).write.mode("overwrite").parquet(f"{path}/total")
+def _publish(spark: SparkSession, path: str, pieces: list[Row], version: int, batch: int) -> None:
+    """Make these pieces, in this order, the ordering."""
+    rows, before = [], 0
+    for i, p in enumerate(pieces):
+        rows.append((p["gen"], p["bucket"], p["target"], p["n"], p["first_row"], i, before))
+        before += p["n"]
+    _write_pieces(spark.createDataFrame(rows, PIECES), f"{path}/pieces/v={version}")
+    total_row = spark.createDataFrame([(version, before, batch)], TOTAL)
+    total_row.coalesce(1).write.mode("append").parquet(f"{path}/total")
 
 
-def total(spark: SparkSession, path: str) -> int:
-    """The rows of a stored ordering; an error if it is not finished."""
-    marker = spark.read.schema(TOTAL).parquet(f"{path}/total").first()
-    counted = spark.read.schema(BUCKETS).parquet(f"{path}/buckets").agg(F.sum("n")).first()[0]
-    if marker is None or marker["n"] != (counted or 0):
-        raise RuntimeError(f"the ordering in {path} is not finished")
-    return marker["n"]
+def _write_pieces(pieces: DataFrame, path: str) -> None:
+    pieces.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def _write_buckets(rows: DataFrame, path: str) -> None:
-    """Count rows per bucket, reading nothing but that column, a constant in each file.
+def _current(spark: SparkSession, path: str) -> Row:
+    """version, n and batch of a stored ordering; an error if it is not finished."""
+    try:
+        known = spark.read.schema(TOTAL).parquet(f"{path}/total").collect()
+    except AnalysisException as missing:
+        raise RuntimeError(f"the ordering in {path} is not finished") from missing
+    if not known:
+        raise RuntimeError(f"the ordering in {path} is not finished")
+    return max(known, key=lambda row: row["version"])
 
-    There is one bucket per sorted partition, so one task can sum up the counts.
-    """
-    before = F.sum("n").over(Window.orderBy("bucket")) - F.col("n")
-    (
-        rows.groupBy("bucket").agg(F.count("*").alias("n"))
-        .select("bucket", "n", before.alias("before"))
-        .write.mode("overwrite").parquet(f"{path}/buckets")
-    )
+
+def total(spark: SparkSession, path: str) -> int:
+    """The rows of a stored ordering; an error if it is not finished."""
+    return _current(spark, path)["n"]
 
 
 def read_ordering(spark: SparkSession, path: str) -> DataFrame:
-    """A stored ordering with ``pos``, and ``bucket``: the sorted partition it lies in.
+    """A stored ordering with ``pos``, and ``bucket``: the piece it lies in.
 
-    The bucket table has as many rows as the sort had partitions. Catalyst knows
+    The table of pieces has about as many rows as the sort had partitions. Catalyst knows
     its file size and broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    total(spark, path)
-    return _with_pos(_read_rows(spark, path), _read_buckets(spark, path))
+    return _with_pos(_read_rows(spark, path), _read_pieces(spark, path))
 
 
 def in_stretches(spark: SparkSession, path: str, n: int) -> DataFrame:
@@ -120,19 +165,16 @@ def in_stretches(spark: SparkSession, path: str, n: int) -> DataFrame:
 def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
     """The first ``n`` rows of a stored ordering.
 
-    The bucket table tells the place of the n-th row, and the scan skips all row
-    groups beyond it.
+    The table of pieces tells where they lie, at most ``n`` pieces, and the scan skips all
+    row groups beyond.
     """
-    total(spark, path)
-    buckets = _read_buckets(spark, path)
-    holder = buckets.filter(F.col("before") < n).orderBy(F.desc("before")).first()
-    if holder is None:
-        return read_ordering(spark, path).filter(F.col("pos") <= n).drop("bucket")
-    bucket, row = F.col("bucket"), F.col("row")
-    in_head = (bucket < holder["bucket"]) | (
-        (bucket == holder["bucket"]) & (row < n - holder["before"])
-    )
-    return _with_pos(_read_rows(spark, path).filter(in_head), buckets).drop("bucket")
+    pieces = _read_pieces(spark, path)
+    holders = pieces.filter(F.col("before") < n).collect()
+    in_head = F.lit(False)
+    for p in holders:
+        at = reduce(lambda a, b: a & b, [F.col(c) == p[c] for c in PLACE])
+        in_head |= at & (F.col("row") < p["first_row"] + n - p["before"])
+    return _with_pos(_read_rows(spark, path).filter(in_head), pieces).drop("bucket")
 
 
 def _read_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -143,18 +185,90 @@ def _read_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({c: made for c, made in missing.items() if c not in rows.columns})
 
 
-def _read_buckets(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BUCKETS).parquet(f"{path}/buckets").select("bucket", "before")
+def _read_pieces(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    version = _current(spark, path)["version"] if version is None else version
+    return spark.read.schema(PIECES).parquet(f"{path}/pieces/v={version}")
+
 
+def _with_pos(rows: DataFrame, pieces: DataFrame) -> DataFrame:
+    """Rows of live pieces; those of pieces that were written again have no partner."""
+    known = pieces.select(*PLACE, "first_row", "piece", "before")
+    pos = (F.col("before") + F.col("row") - F.col("first_row") + 1).cast("bigint")
+    return rows.join(known, list(PLACE)).select(pos.alias("pos"), *CONTENT, F.col("piece").alias("bucket"))
 
-def _with_pos(rows: DataFrame, buckets: DataFrame) -> DataFrame:
-    unfinished = F.raise_error(F.lit("this ordering is not finished")).cast("bigint")
-    pos = (F.coalesce("before", unfinished) + F.col("row") + 1).cast("bigint")
-    return rows.join(buckets, "bucket", "left").select(pos.alias("pos"), *CONTENT, "bucket")
+
+def _piece_starts(spark: SparkSession, path: str, key: str, pieces: DataFrame) -> list[Row]:
+    """The key of the first row of each piece, in order. Scans skip all but first rows' pages."""
+    first = spark.read.parquet(f"{path}/rows").join(pieces.select(*PLACE, "first_row", "piece"), list(PLACE))
+    starts = first.filter(F.col("row") == F.col("first_row")).select("piece", key_of(key).alias("k")).collect()
+    return [row["k"] for row in sorted(starts, key=lambda row: row["piece"])]
+
+
+def extend_ordering(records: DataFrame, key: str, path: str, batch: int | None = None) -> None:
+    """Add ``records`` to a stored ordering, or store the first ones.
+
+    A record falls into the piece with the last start that isn't above it. The pieces that
+    get records are sorted anew together with them, cut into ranges by their bytes; all
+    other pieces keep their files. Pieces never mix, so the order between them holds. With
+    ``batch``, a number that grows, a batch that was added already changes nothing.
+    """
+    spark = records.sparkSession
+    sort_columns(key)
+    try:
+        now = _current(spark, path)
+    except RuntimeError:
+        store_ordering(records, key, path, batch=-1 if batch is None else batch)
+        return
+    if batch is not None and batch <= now["batch"]:
+        return
+    seen = now["batch"] if batch is None else batch
+    rows, raw_bytes = _measured(records, key)
+    pieces = _read_pieces(spark, path, now["version"])
+    listed = sorted(pieces.collect(), key=lambda p: p["piece"])
+    gen = 1 + max((p["gen"] for p in listed), default=0)
+    starts = _piece_starts(spark, path, key, pieces)
+    # What is below the first start goes to the first piece.
+    target = F.greatest(range_of(key, starts) - 1, F.lit(0))
+    new = rows.withColumn("target", target)
+    fresh = {row["target"]: row["count"] for row in new.groupBy("target").count().collect()}
+    if not fresh:
+        return
+    touched = [p for p in listed if p["piece"] in fresh]
+    old = spark.read.parquet(f"{path}/rows").join(
+        F.broadcast(spark.createDataFrame(  # at most a row per piece
+            [(p["gen"], p["bucket"], p["target"], p["piece"]) for p in touched],
+            "gen INT, bucket INT, target INT, piece INT",
+        )), list(PLACE),
+    ).select("raw", *sort_columns(key), F.col("piece").alias("target"))
+    moved = sum(p["n"] for p in touched)
+    ranges = ranges_for(raw_bytes * (1 + moved // max(sum(fresh.values()), 1)))
+    order = ["target", *sort_columns(key)]
+    together = new.unionByName(old) if touched else new
+    _write_rows(together.repartitionByRange(ranges, *order).sortWithinPartitions(*order), path, gen)
+    made: dict[int, list[Row]] = {}
+    for p in _counted(spark, path, gen):
+        made.setdefault(p["target"], []).append(p)
+    after = [q for p in listed for q in made.get(p["piece"], [p])] if listed else [q for ps in made.values() for q in ps]
+    _publish(spark, path, after, now["version"] + 1, seen)
+
+
+def sweep(spark: SparkSession, path: str) -> int:
+    """Remove files that only hold rows of pieces written again since; returns how many.
+
+    Nobody may read an older version meanwhile.
+    """
+    rows = spark.read.parquet(f"{path}/rows").select(*PLACE, F.col("_metadata.file_path").alias("file"))
+    files = rows.distinct().join(
+        _read_pieces(spark, path).select(*PLACE, F.lit(True).alias("live")), list(PLACE), "left"
+    ).groupBy("file").agg(F.max("live").alias("live"))
+    dead = [row["file"] for row in files.filter("live is null").select("file").collect()]
+    for file in dead:
+        scratch.remove(spark, file)
+    return len(dead)
 
 
 def sorted_by(records: DataFrame, key: str, ranges: int | None = None) -> DataFrame:
-    """Records with their position in the order of ``key``."""
+    """Records with their position in the order of ``key``; the sort is sized by their bytes."""
     sort_columns(key)
     path = scratch.new_path(records.sparkSession, f"ordering-{key}")
     store_ordering(records, key, path, ranges)

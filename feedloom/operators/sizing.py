@@ -1,43 +1,49 @@
-"""Checked broadcasts, shuffle widths and table formats."""
+"""Sizes of sorts, stored summaries and their joins, table formats."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from math import ceil, sqrt
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-# A summary of at most this many narrow rows is worth sending to every task.
-MAX_BROADCAST_ROWS = 100_000
+from feedloom import scratch
+
+# A sort of so many MB of lines has this times its square root of ranges: both the number
+# of ranges and their size grow with the input. 1 GB is cut into 128 ranges of 8 MB, 1 TB
+# into 4,096 of 256 MB, 100 TB into 40,960 of 2.5 GB, which sort with spills in a few GB
+# of memory, and of which the driver can hold the bounds.
+RANGES_PER_ROOT_MB = 4
+
 
-# Aim for sorted partitions of this many bytes of raw lines. They sort with spills in
-# a few GB of memory, and 100 TB come to some 50,000 of them: more would make the
-# blocks between map and reduce tasks tiny, and leave Spark's sample of at most a
-# million keys too few per range to cut ranges of like size.
-BYTES_PER_RANGE = 2 * 1024**3
+def ranges_for(raw_bytes: int) -> int:
+    """How many ranges a sort of ``raw_bytes`` gets."""
+    return max(1, ceil(RANGES_PER_ROOT_MB * sqrt(raw_bytes / 1024**2)))
 
 
-def with_summary(rows: DataFrame, summary: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Join rows to a small summary of theirs without shuffling the rows.
+def stored_rows(rows: DataFrame, label: str, sizes: dict | None = None, **options: str) -> tuple[DataFrame, dict]:
+    """Rows written once to the shared folder and read from there, and what was counted meanwhile.
 
-    A summary usually has one row per feed partition, but nothing in the data
-    says how many partitions there are. So its size is measured first: up to
-    ``MAX_BROADCAST_ROWS`` it becomes a local table that is broadcast, beyond
-    that it is joined like any other table.
+    Later steps then agree on the rows, and none makes them again. ``sizes``: aggregates
+    by name, taken while the rows are written.
     """
-    known = summary.limit(MAX_BROADCAST_ROWS + 1).toArrow()
-    if known.num_rows > MAX_BROADCAST_ROWS:
-        return rows.join(summary, on, how)
-    local = rows.sparkSession.createDataFrame(known, schema=summary.schema)
-    return rows.join(F.broadcast(local), on, how)
+    spark, path = rows.sparkSession, scratch.new_path(rows.sparkSession, label)
+    wanted = [aggregate.alias(name) for name, aggregate in (sizes or {}).items()]
+    seen = Observation(label)
+    watched = rows.observe(seen, *wanted) if wanted else rows
+    watched.write.mode("overwrite").options(**options).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), seen.get if wanted else {}
 
 
-def ranges_for(spark, raw_bytes: int) -> int | None:
-    """How many ranges a sort of ``raw_bytes`` needs; None if the session's width will do.
+def join_summary(rows: DataFrame, summary: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Rows beside the row of a stored summary with the same ``on``, a NULL being a value like others.
 
-    ``spark.sql.shuffle.partitions`` is the usual width, and adaptive execution
-    shrinks it for small inputs. It cannot grow it, which a very large input needs.
+    A stored summary has a known size, by which Catalyst decides whether to broadcast it.
     """
-    wanted = -(-raw_bytes // BYTES_PER_RANGE)
-    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+    other = summary.withColumnsRenamed({c: f"_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in on])
+    return rows.join(other, same, how).drop(*[f"_{c}" for c in on])
 
 
 def table_options(*distinct: str) -> dict[str, str]:

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from feedloom.contract import SORT_KEYS, sort_columns
 from feedloom.operators import accounting, arrival, verify
 from feedloom.operators.intake import parse_feed
-from feedloom.operators.ordering import keyed, read_ordering, store_ordering
+from feedloom.operators.ordering import extend_ordering, keyed, read_ordering, store_ordering
 from feedloom.operators.sizing import ranges_for, table_options
-from feedloom.streaming.drain import drain_feed
+from feedloom.streaming.drain import drain, drain_feed
 
 
 def store_parsed(feed: DataFrame, path: str) -> int:
@@ -58,8 +58,7 @@ def store_orderings(
     ``at_once`` orderings are made at a time. Together, no executor waits for the
     stragglers of one sort; one after the other, only one sort's shuffle files need disk
     space, which is what to choose for inputs that fill the cluster. ``ranges`` is the
-    number of sorted partitions, the session's shuffle width if not given. A failed sort
-    fails the call.
+    number of sorted partitions, measured if not given. A failed sort fails the call.
     """
     for key in keys:
         sort_columns(key)
@@ -87,7 +86,7 @@ def order_feed(
     spark = feed.sparkSession
     raw_bytes = store_parsed(feed, f"{path}/parsed")
     records = bounded(read_valid(spark, f"{path}/parsed"), max_records, idle_seconds)
-    return store_orderings(records, path, keys, ranges or ranges_for(spark, raw_bytes), at_once)
+    return store_orderings(records, path, keys, ranges or ranges_for(raw_bytes), at_once)
 
 
 def three_orderings(feed: DataFrame, path: str) -> DataFrame:
@@ -148,7 +147,39 @@ def order_stream(
     size = F.sum(F.octet_length("raw").cast("bigint"))
     raw_bytes = spark.read.parquet(f"{path}/parsed").agg(size).first()[0] or 0
     records = bounded(read_valid(spark, f"{path}/parsed"), max_records, idle_seconds)
-    return store_orderings(records, path, keys, ranges or ranges_for(spark, raw_bytes), at_once)
+    return store_orderings(records, path, keys, ranges or ranges_for(raw_bytes), at_once)
+
+
+def extend_orderings(
+    records: DataFrame, path: str, keys: tuple[str, ...] = SORT_KEYS, batch: int | None = None
+) -> dict[str, str]:
+    """Add records to one stored ordering per key, or store the first ones; returns where.
+
+    The keys are extended one after the other. With ``batch``, a growing number, a key that
+    had the batch already is left alone, so a batch that failed half-way can run again.
+    """
+    paths = {key: f"{path}/key={key}" for key in keys}
+    for key, where in paths.items():
+        extend_ordering(records, key, where, batch)
+    return paths
+
+
+def order_stream_by_batches(
+    feed: DataFrame, path: str, keys: tuple[str, ...] = SORT_KEYS
+) -> dict[str, str]:
+    """Take in all that a stream holds, each micro-batch at once into the stored orderings.
+
+    The orderings are whole after each batch; a later call goes on where this one ends. The
+    batch is parsed into a table first, whose folder is overwritten if it runs again.
+    """
+
+    def extend(batch: DataFrame, number: int) -> None:
+        where = f"{path}/parsed/batch_id={number}"
+        store_parsed(batch, where)
+        extend_orderings(read_valid(batch.sparkSession, where), path, keys, number)
+
+    drain(feed, extend, f"{path}/offsets")
+    return {key: f"{path}/key={key}" for key in keys}
 
 
 def check_published(records: DataFrame, published: dict[str, DataFrame]) -> None:

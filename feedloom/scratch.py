@@ -42,9 +42,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there, wherever Spark can reach it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Remove all intermediate tables of this process; results not yet read are lost."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     while _given:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_given.pop())
-        path.getFileSystem(hadoop).delete(path, True)
+        remove(spark, _given.pop())

@@ -27,7 +27,7 @@ def drain_feed(feed: DataFrame, path: str, checkpoint: str) -> None:
     def store(batch: DataFrame, batch_id: int) -> None:
         parse_feed(batch).write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
-    _run(feed, store, checkpoint)
+    drain(feed, store, checkpoint)
 
 
 def drain_runs(feed: DataFrame, path: str, checkpoint: str, key: str) -> None:
@@ -42,10 +42,11 @@ def drain_runs(feed: DataFrame, path: str, checkpoint: str, key: str) -> None:
         runs = valid_records(batch).sortWithinPartitions(*order)
         runs.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
-    _run(feed, store, checkpoint)
+    drain(feed, store, checkpoint)
 
 
-def _run(feed: DataFrame, store, checkpoint: str) -> None:
+def drain(feed: DataFrame, store, checkpoint: str) -> None:
+    """Give all that the stream holds to ``store(rows, batch number)``, then stop."""
     # A stream without rows has no micro-batch; this one gives its table a schema.
     store(feed.sparkSession.createDataFrame([], feed.schema), -1)
     query = (

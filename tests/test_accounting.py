@@ -6,7 +6,7 @@ import pytest
 from helpers import START, feed_of
 from pyspark.sql import functions as F
 
-from feedloom.operators import accounting, sizing
+from feedloom.operators import accounting
 from feedloom.operators.intake import parse_feed, valid_records
 
 
@@ -84,12 +84,11 @@ def test_idle_cut_is_exact(spark, seconds):
     assert found == model_idle_cut(seconds, 10)
 
 
-def test_idle_cut_takes_each_partition_by_itself(spark, monkeypatch):
+def test_idle_cut_takes_each_partition_by_itself(spark):
     records = at(spark, [0, 50, 51]).unionByName(at(spark, [0, 5, 11], 1)).unionByName(at(spark, [0, 99], 2))
-    for limit in (100_000, 1):
-        monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", limit)
-        counts = accounting.idle_cut(records, 10).groupBy("partition").count().collect()
-        assert {r["partition"]: r["count"] for r in counts} == {0: 1, 1: 3, 2: 1}
+    none = at(spark, [0, 5, 90]).withColumn("partition", F.lit(None).cast("int"))
+    counts = accounting.idle_cut(records.unionByName(none), 10).groupBy("partition").count().collect()
+    assert {r["partition"]: r["count"] for r in counts} == {0: 1, 1: 3, 2: 1, None: 2}
 
 
 def test_records_without_a_timestamp_stay(spark):

@@ -1,12 +1,15 @@
 """Operators on arrival order, with chunks small enough to matter."""
 
 import pytest
-from helpers import feed_of
+from helpers import START, feed_of
 from pyspark.sql import functions as F
 
+from feedloom.contract import FEED_SCHEMA
 from feedloom.operators import arrival, quota
-from feedloom.operators import sizing
 from feedloom.operators.intake import valid_records
+from feedloom.operators.runs import sorted_runs
+from feedloom.sinks.files import write_feed
+from feedloom.sources.files import scan_feed
 
 CHUNKS = (1, 3, 10, 1_000_000)
 
@@ -98,11 +101,39 @@ def test_milestone_without_time_has_no_rate(spark):
     assert [r["rate"] for r in arrival.milestones(records, 2).collect()] == [None, None]
 
 
-def test_large_summaries_are_not_broadcast(spark, monkeypatch):
+def test_large_summaries_are_not_broadcast(spark):
     records = gappy(spark)
     expected = sorted(arrival.cap_per_partition(records, 5, 3).collect())
-    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 1)
-    assert sorted(arrival.cap_per_partition(records, 5, 3).collect()) == expected
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted(arrival.cap_per_partition(records, 5, 3).collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("partition, offset", [(None, 1), (0, None), (None, None)])
+def test_rows_without_a_place_stay(spark, partition, offset):
+    places = [(0, 0), (0, 5), (partition, offset)]
+    rows = [(f"{i},n,a,c", *place, START) for i, place in enumerate(places)]
+    feed = spark.createDataFrame(rows, FEED_SCHEMA)
+    records = valid_records(feed)
+    assert arrival.with_arrival_rank(records).count() == arrival.fixed_batches(feed).count() == 3
+    assert arrival.cap_per_partition(records, 9).count() == arrival.expected_count(records, 9).count() == 3
+    assert sorted_runs(records, 2).count() == 9
+    sizes = {r["partition"]: r["count"] for r in records.groupBy("partition").count().collect()}
+    assert arrival.milestones(records, 1).count() == 3
+    capped = arrival.cap_per_partition(records, 1).collect()
+    assert len(capped) == len(sizes)
+
+
+def test_cap_and_count_scan_the_feed_twice_at_most(spark, tmp_path):
+    """Once for the histogram, which is stored, and once for the rows."""
+    write_feed(feed_of(spark, [f"{i},n,a,c" for i in range(50)], 4), str(tmp_path))
+    records = valid_records(scan_feed(spark, str(tmp_path)))
+    for frame in (arrival.cap_per_partition(records, 5), arrival.expected_count(records, 5)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"{tmp_path.name}]") == 1
 
 
 @pytest.mark.parametrize("total, workers, sizes", [
