@@ -19,6 +19,8 @@ The last version in ``total`` is the ordering. Without one, it is not finished.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom import scratch
-from feedloom.contract import HEAD_SIZE, sort_columns
+from feedloom.contract import HEAD_SIZE, SORT_KEYS, sort_columns
 from feedloom.functions import lines
 from feedloom.functions.numbers import floor_div
 from feedloom.operators.ranges import deal, key_of, range_of
@@ -294,6 +296,13 @@ def merge_runs(runs: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), runs)
 
 
+def for_each_key(action: Callable[[str], None], keys: Iterable[str], at_once: int = len(SORT_KEYS)) -> None:
+    """Run ``action`` for every key, some at a time; a failure fails the call."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        for done in [pool.submit(action, key) for key in keys]:
+            done.result()
+
+
 def keyed(orderings: dict[str, DataFrame]) -> DataFrame:
     """Several orderings in one table ``key, pos, raw``."""
     return reduce(

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.contract import SORT_KEYS, sort_columns
 from feedloom.operators import accounting, arrival, verify
 from feedloom.operators.intake import parse_feed
-from feedloom.operators.ordering import extend_ordering, keyed, read_ordering, store_ordering
+from feedloom.operators.ordering import extend_ordering, for_each_key, keyed, read_ordering, store_ordering
 from feedloom.operators.sizing import ranges_for, table_options
 from feedloom.streaming.drain import drain, drain_feed
 
@@ -63,10 +61,7 @@ def store_orderings(
     for key in keys:
         sort_columns(key)
     paths = {key: f"{path}/key={key}" for key in keys}
-    with ThreadPoolExecutor(max_workers=at_once) as pool:
-        jobs = [pool.submit(store_ordering, records, key, paths[key], ranges) for key in keys]
-        for done in jobs:
-            done.result()
+    for_each_key(lambda key: store_ordering(records, key, paths[key], ranges), keys, at_once)
     return paths
 
 
@@ -155,12 +150,11 @@ def extend_orderings(
 ) -> dict[str, str]:
     """Add records to one stored ordering per key, or store the first ones; returns where.
 
-    The keys are extended one after the other. With ``batch``, a growing number, a key that
-    had the batch already is left alone, so a batch that failed half-way can run again.
+    With ``batch``, a growing number, a key that had the batch already is left alone, so a
+    batch that failed half-way can run again.
     """
     paths = {key: f"{path}/key={key}" for key in keys}
-    for key, where in paths.items():
-        extend_ordering(records, key, where, batch)
+    for_each_key(lambda key: extend_ordering(records, key, paths[key], batch), keys)
     return paths
 
 

@@ -156,7 +156,6 @@ _SECONDS = "(epoch_us({0}) - epoch_us({1})) / 1e6"
 
 
 def all_oracles() -> dict[str, str]:
-    by_name = _on(_DIRTY, _ordering("name"))
     return {
         "generate_feed": _generate(),
         "scan_feed": f'WITH {_DIRTY} SELECT value, {_PLACE}, ts AS "timestamp" FROM feed',
@@ -170,7 +169,7 @@ def all_oracles() -> dict[str, str]:
         "rejects": _on(_DIRTY, f"SELECT raw, {_PLACE}, error FROM tagged WHERE error IS NOT NULL"),
         **{f"sorted_by_{key}": _on(_DIRTY, _ordering(key)) for key in SORT_KEYS},
         "sorted_runs": _on(_DIRTY, _RUNS),
-        "merge_runs": by_name,
+        "merge_runs": _on(_DIRTY, _KEYED),
         "three_orderings": _on(_DIRTY, _KEYED),
         "head_of_ordering": _on(_DIRTY, f"SELECT * FROM ({_KEYED}) WHERE pos <= 20"),
         "intake_stats": _on(_DIRTY, """SELECT part AS "partition", count(*) AS messages,
@@ -230,7 +229,8 @@ dealt AS (SELECT pos, n // {q.WORKERS} AS share, n % {q.WORKERS} AS rest FROM pl
 SELECT CAST(CASE WHEN pos <= share + rest THEN 0 ELSE (pos - 1 - rest) // share END AS INTEGER) AS shard,
   count(*) AS records, min(pos) AS first_pos, max(pos) AS last_pos FROM dealt GROUP BY 1""")
            for name, feed in (("shard_quota", _CLEAN), ("shard_quota_dirty", _DIRTY))},
-        "stream_sort": by_name,
+        "stream_sort": _on(_DIRTY, _KEYED),
+        "incremental_orderings": _on(_DIRTY, _KEYED),
         "publish_lines": _on(_DIRTY, _KEYED),
         "stream_three_orderings": _on(_DIRTY, _KEYED),
         "lines_to_orderings": _on(_DIRTY, _KEYED),

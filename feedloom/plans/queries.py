@@ -37,6 +37,7 @@ FLUSH = 2000
 FAULT_EVERY = 1000
 HEAD_OFFSETS = 400
 STREAM_FILE_ROWS = 3000
+DRAINS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,11 +109,12 @@ def _sorted_runs(spark, sf_dir):
 
 def _merge_runs(spark, sf_dir):
     path = scratch.new_path(spark, "runs")
-    write_runs(runs.sorted_runs(_dirty(spark, sf_dir), FLUSH, ("name",)), path)
-    stored = spark.read.parquet(path)
+    write_runs(runs.sorted_runs(_dirty(spark, sf_dir), FLUSH), f"{path}/runs")
+    stored = spark.read.parquet(f"{path}/runs")
     even = F.col("partition") % 2 == 0
-    merged = ordering.merge_runs([stored.filter(even), stored.filter(~even)])
-    return ordering.sorted_by(merged, "name")
+    both = ordering.merge_runs([stored.filter(even), stored.filter(~even)])
+    paths = runs.merge_all({key: both.filter(F.col("key") == key) for key in SORT_KEYS}, path)
+    return ordering.keyed({key: ordering.read_ordering(spark, p) for key, p in paths.items()})
 
 
 def _three_orderings(spark, sf_dir):
@@ -269,7 +271,8 @@ def _shards(spark, feed):
 def _stream_sort(spark, sf_dir):
     path = scratch.new_path(spark, "stream-sort")
     write_feed(tables.dirty_orders_feed(spark, sf_dir), f"{path}/feed")
-    return drain.stream_sort(stream_feed(spark, f"{path}/feed"), "name", path)
+    paths = drain.stream_sort(stream_feed(spark, f"{path}/feed"), path)
+    return ordering.keyed({key: ordering.read_ordering(spark, p) for key, p in paths.items()})
 
 
 def _publish_ordering(spark, sf_dir):
@@ -296,6 +299,17 @@ def _stream_three_orderings(spark, sf_dir):
     return ordering.keyed({key: ordering.read_ordering(spark, p) for key, p in paths.items()})
 
 
+def _incremental_orderings(spark, sf_dir):
+    """Three drains of a feed that grows; each adds its batches to the stored orderings."""
+    path = scratch.new_path(spark, "incremental")
+    feed = tables.dirty_orders_feed(spark, sf_dir)
+    for third in range(DRAINS):
+        part = feed.filter(F.pmod(F.xxhash64("partition", "offset"), F.lit(DRAINS)) == third)
+        part.write.mode("append").parquet(f"{path}/feed")
+        paths = job.order_stream_by_batches(stream_feed(spark, f"{path}/feed"), path)
+    return ordering.keyed({key: ordering.read_ordering(spark, p) for key, p in paths.items()})
+
+
 def _lines_to_orderings(spark, sf_dir):
     path = scratch.new_path(spark, "lines-feed")
     write_lines(tables.dirty_orders_feed(spark, sf_dir), f"{path}/text")
@@ -350,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "publish_ordering": _publish_ordering,
     "publish_lines": _publish_lines,
     "stream_three_orderings": _stream_three_orderings,
+    "incremental_orderings": _incremental_orderings,
     "lines_to_orderings": _lines_to_orderings,
     "reconcile_faults": _reconcile_faults,
     "verify_faults": _verify_faults,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.contract import FEED_COLUMNS, sort_columns
 from feedloom.operators.ordering import in_order, in_stretches
+from feedloom.operators.runs import MARK_EVERY
 from feedloom.operators.sizing import table_options
 
 
@@ -44,17 +45,21 @@ def write_stored_lines(spark: SparkSession, stored: str, path: str, files: int)
     ).text(path)
 
 
-def write_runs(runs: DataFrame, path: str) -> None:
-    """Sorted runs under one folder per key and partition.
+def write_runs(runs: DataFrame, path: str, every: int = MARK_EVERY) -> None:
+    """Sorted runs under one folder per key and partition; every ``every``-th row is a mark.
 
-    ``sorted_runs`` leaves neighbouring runs only in each task, so nothing is shuffled
-    here: the number of files is about that of the tasks times the keys, and a partition
-    that holds a third of all rows is written by a third of the tasks.
+    Marks are rows of the runs in files of their own, so a merge finds them without a pass
+    over the others. ``sorted_runs`` leaves neighbouring runs only in each task, so nothing
+    is shuffled here: the number of files is about that of the tasks times the keys, and a
+    partition that holds a third of all rows is written by a third of the tasks.
     """
+    if every < 1:
+        raise ValueError("the step of marks must be positive")
     (
-        runs.sortWithinPartitions("key", "partition", "run", "pos_in_run")
+        runs.withColumn("mark", (F.col("pos_in_run") % every == 0).cast("int"))
+        .sortWithinPartitions("key", "partition", "mark", "run", "pos_in_run")
         .write.mode("overwrite")
         .options(**table_options("raw", "offset", "pos_in_run"))
-        .partitionBy("key", "partition")
+        .partitionBy("key", "partition", "mark")
         .parquet(path)
     )

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.contract import sort_columns
+from feedloom.contract import SORT_KEYS, sort_columns
 from feedloom.operators.intake import parse_feed, valid_records
-from feedloom.operators.ordering import merge_runs, sorted_by
+from feedloom.operators.ordering import ROW_MASK
+from feedloom.operators.runs import MARK_EVERY, merge_all
 
 
 def _batch_folder(path: str, batch_id: int) -> str:
@@ -30,17 +31,29 @@ def drain_feed(feed: DataFrame, path: str, checkpoint: str) -> None:
     drain(feed, store, checkpoint)
 
 
-def drain_runs(feed: DataFrame, path: str, checkpoint: str, key: str) -> None:
-    """Store each micro-batch as runs sorted by ``key``, then stop.
+def drain_runs(
+    feed: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = SORT_KEYS, every: int = MARK_EVERY
+) -> None:
+    """Store each micro-batch as sorted runs for every key, then stop.
 
     A run is the share of a micro-batch in one task, sorted where it is: nothing
-    is shuffled before the final merge.
+    is shuffled before the final merge. The batch is parsed once, into a table; each
+    ``every``-th row of a run is a mark, as ``write_runs`` makes them.
     """
-    order = sort_columns(key)
+    for key in keys:
+        sort_columns(key)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        runs = valid_records(batch).sortWithinPartitions(*order)
-        runs.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        spark, parsed = batch.sparkSession, _batch_folder(f"{path}/parsed", batch_id)
+        valid_records(batch).drop("address").write.mode("overwrite").parquet(parsed)
+        place = F.monotonically_increasing_id().bitwiseAND(ROW_MASK) + 1
+        for key in keys:
+            columns = list(dict.fromkeys(["raw", *sort_columns(key)]))
+            runs = spark.read.parquet(parsed).select(*columns).sortWithinPartitions(*sort_columns(key))
+            (
+                runs.withColumn("mark", (place % every == 0).cast("int")).write.mode("overwrite").partitionBy("mark")
+                .parquet(_batch_folder(f"{path}/key={key}", batch_id))
+            )
 
     drain(feed, store, checkpoint)
 
@@ -63,10 +76,11 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
-def stream_sort(feed: DataFrame, key: str, path: str) -> DataFrame:
-    """Sorted runs from a stream, then one merge of them: the ordering by ``key``."""
-    drain_runs(feed, f"{path}/runs", f"{path}/offsets", key)
-    return sorted_by(merge_runs([read_batches(feed.sparkSession, f"{path}/runs")]), key)
+def stream_sort(feed: DataFrame, path: str, keys: tuple[str, ...] = SORT_KEYS) -> dict[str, str]:
+    """Sorted runs from a stream, then one merge of them per key; returns the orderings' paths."""
+    spark = feed.sparkSession
+    drain_runs(feed, f"{path}/runs", f"{path}/offsets", keys)
+    return merge_all({key: read_batches(spark, f"{path}/runs/key={key}") for key in keys}, path)
 
 
 def intake_sessions(feed: DataFrame, idle_seconds: int, lateness: str = "0 seconds") -> DataFrame:
