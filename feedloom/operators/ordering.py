@@ -23,7 +23,6 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -130,10 +129,9 @@ def _write_pieces(pieces: DataFrame, path: str) -> None:
 
 def _current(spark: SparkSession, path: str) -> Row:
     """version, n and batch of a stored ordering; an error if it is not finished."""
-    try:
+    known = None
+    if scratch.exists(spark, f"{path}/total"):
         known = spark.read.schema(TOTAL).parquet(f"{path}/total").collect()
-    except AnalysisException as missing:
-        raise RuntimeError(f"the ordering in {path} is not finished") from missing
     if not known:
         raise RuntimeError(f"the ordering in {path} is not finished")
     return max(known, key=lambda row: row["version"])
@@ -164,6 +162,25 @@ def in_stretches(spark: SparkSession, path: str, n: int) -> DataFrame:
     return read_ordering(spark, path).repartitionById(n, stretch).sortWithinPartitions("pos")
 
 
+def version_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """The version of a stored ordering and its rows; both grow with every batch."""
+    now = _current(spark, path)
+    return now["version"], now["n"]
+
+
+def read_stretch(spark: SparkSession, path: str, first: int, last: int, tasks: int) -> DataFrame:
+    """The rows from position ``first`` to ``last`` in order, dealt to ``tasks`` tasks.
+
+    Only the pieces that reach into the stretch are read.
+    """
+    pieces = _read_pieces(spark, path).filter((F.col("before") < last) & (F.col("before") + F.col("n") >= first))
+    held = pieces.select("gen", "bucket").distinct().collect()
+    near = F.col("gen").isin([p["gen"] for p in held]) & F.col("bucket").isin([p["bucket"] for p in held])
+    rows = _with_pos(_read_rows(spark, path).filter(near), pieces).filter(F.col("pos").between(first, last))
+    part = floor_div((F.col("pos") - first) * tasks, max(last - first + 1, 1)).cast("int")
+    return rows.drop("bucket").repartitionById(tasks, part).sortWithinPartitions("pos")
+
+
 def read_head(spark: SparkSession, path: str, n: int = HEAD_SIZE) -> DataFrame:
     """The first ``n`` rows of a stored ordering.
 
@@ -216,11 +233,10 @@ def extend_ordering(records: DataFrame, key: str, path: str, batch: int | None =
     """
     spark = records.sparkSession
     sort_columns(key)
-    try:
-        now = _current(spark, path)
-    except RuntimeError:
+    if not scratch.exists(spark, f"{path}/total"):
         store_ordering(records, key, path, batch=-1 if batch is None else batch)
         return
+    now = _current(spark, path)
     if batch is not None and batch <= now["batch"]:
         return
     seen = now["batch"] if batch is None else batch

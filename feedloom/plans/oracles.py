@@ -156,6 +156,11 @@ _SECONDS = "(epoch_us({0}) - epoch_us({1})) / 1e6"
 
 
 def all_oracles() -> dict[str, str]:
+    idle_cut = _on(_EVENTS, f""",
+gaps AS (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY part ORDER BY ts, off) AS gap FROM ok),
+cut AS (SELECT *, max(CASE WHEN gap > {q.HOUR_SECONDS * 1_000_000} THEN 1 ELSE 0 END)
+  OVER (PARTITION BY part ORDER BY ts, off) AS past FROM gaps)
+SELECT {_RECORDS} FROM cut WHERE past = 0""")
     return {
         "generate_feed": _generate(),
         "scan_feed": f'WITH {_DIRTY} SELECT value, {_PLACE}, ts AS "timestamp" FROM feed',
@@ -211,11 +216,8 @@ FROM ok GROUP BY part"""),
             " FROM (SELECT lag(k) OVER (ORDER BY pos) > k AS falls FROM"
             " (SELECT row_number() OVER (ORDER BY {order}) AS pos, {key} AS k FROM ok) WHERE pos <= 20)"
         )),
-        "idle_cut": _on(_EVENTS, f""",
-gaps AS (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY part ORDER BY ts, off) AS gap FROM ok),
-cut AS (SELECT *, max(CASE WHEN gap > {q.HOUR_SECONDS * 1_000_000} THEN 1 ELSE 0 END)
-  OVER (PARTITION BY part ORDER BY ts, off) AS past FROM gaps)
-SELECT {_RECORDS} FROM cut WHERE past = 0"""),
+        "idle_cut": idle_cut,
+        "idle_cut_stream": idle_cut,
         "expected_count": _on(_DIRTY, f"""SELECT {_PLACE}, id,
   (SELECT count(*) FROM ok o WHERE o.part = arrived.part) >= {q.EXPECTED} AS complete
 FROM arrived WHERE rank <= {q.EXPECTED}"""),
@@ -232,6 +234,23 @@ SELECT CAST(CASE WHEN pos <= share + rest THEN 0 ELSE (pos - 1 - rest) // share
         "stream_sort": _on(_DIRTY, _KEYED),
         "incremental_orderings": _on(_DIRTY, _KEYED),
         "publish_lines": _on(_DIRTY, _KEYED),
+        "publish_resumed": _on(_DIRTY, _KEYED),
+        "drain_replayed": _on(_DIRTY, f'{_PARSE}, ts AS "timestamp" FROM tagged'),
+        "offset_gaps": _on(_DIRTY, f""",
+taken AS (SELECT part, off FROM ok UNION ALL SELECT part, off FROM ok WHERE off % {q.AGAIN_EVERY} < 3),
+ends AS (SELECT part, min(off) AS lo, max(off) AS hi FROM taken GROUP BY part),
+spine AS (SELECT part, unnest(range(lo, hi + 1)) AS off FROM ends),
+counted AS (SELECT s.part, s.off, count(t.off) AS n FROM spine s LEFT JOIN taken t USING (part, off) GROUP BY ALL),
+odd AS (SELECT *, off - row_number() OVER (PARTITION BY part, least(n, 2) ORDER BY off) AS island FROM counted WHERE n <> 1)
+SELECT part AS "partition", min(off) AS "first", max(off) AS "last",
+  CASE WHEN least(n, 2) = 0 THEN 'missing' ELSE 'repeated' END AS kind
+FROM odd GROUP BY part, least(n, 2), island"""),
+        "reconcile_diff": _on(_DIRTY, _FAULTY + f""",
+made AS (SELECT key, raw FROM ok, (VALUES {", ".join(f"('{k}')" for k in SORT_KEYS)}) k(key)),
+came AS (SELECT key, raw FROM faulty),
+lost AS (SELECT key, raw, count(*) AS n FROM (SELECT * FROM made EXCEPT ALL SELECT * FROM came) GROUP BY ALL),
+extra AS (SELECT key, raw, count(*) AS n FROM (SELECT * FROM came EXCEPT ALL SELECT * FROM made) GROUP BY ALL)
+SELECT key, raw, coalesce(l.n, 0) AS missing, coalesce(e.n, 0) AS doubled FROM lost l FULL JOIN extra e USING (key, raw)"""),
         "stream_three_orderings": _on(_DIRTY, _KEYED),
         "lines_to_orderings": _on(_DIRTY, _KEYED),
         "reconcile_faults": _on(_DIRTY, _FAULTY + """,

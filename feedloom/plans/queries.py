@@ -5,19 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom import scratch
 from feedloom.contract import SORT_KEYS
-from feedloom.operators import accounting, arrival, ordering, quota, runs, verify
+from feedloom.operators import accounting, arrival, differences, offsets, ordering, quota, runs, verify
 from feedloom.operators.intake import parse_feed, rejects, valid_records
+from feedloom.operators.sizing import stored_rows
 from feedloom.plans import job
+from feedloom.sinks import resumed
 from feedloom.sinks.files import write_feed, write_lines, write_runs, write_stored_lines
 from feedloom.sources import synthetic, tables
 from feedloom.sources.files import lines_feed, read_ordered_lines, scan_feed, scan_lines, stream_feed
-from feedloom.streaming import drain
+from feedloom.streaming import drain, idle, replay
 
 # Parameters the queries share with their SQL counterparts.
 SEED = 42
@@ -38,6 +40,10 @@ FAULT_EVERY = 1000
 HEAD_OFFSETS = 400
 STREAM_FILE_ROWS = 3000
 DRAINS = 3
+SLICES = 4
+LATE_SECONDS = 86_400
+AGAIN_EVERY = 700
+STRETCHES = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -310,6 +316,59 @@ def _incremental_orderings(spark, sf_dir):
     return ordering.keyed({key: ordering.read_ordering(spark, p) for key, p in paths.items()})
 
 
+def _idle_cut_stream(spark, sf_dir):
+    """The events feed in the order of time, as four files, one per micro-batch."""
+    path = scratch.new_path(spark, "idle-stream")
+    feed = tables.events_feed(spark, sf_dir)
+    quarter = F.ntile(SLICES).over(Window.orderBy("day")).alias("slice")
+    day = F.date_trunc("day", "timestamp").alias("day")
+    slices, _ = stored_rows(feed.select(day).distinct().select("day", quarter), "event-days")
+    cut = feed.withColumn("day", day).join(slices, "day").drop("day")
+    for number in range(1, SLICES + 1):
+        part = cut.filter(F.col("slice") == number).drop("slice")
+        part.coalesce(1).write.mode("append").parquet(f"{path}/feed")
+    idle.drain_idle_cut(
+        stream_feed(spark, f"{path}/feed", 1), f"{path}/out", f"{path}/offsets", HOUR_SECONDS, LATE_SECONDS
+    )
+    return drain.read_batches(spark, f"{path}/out/rows")
+
+
+def _drain_replayed(spark, sf_dir):
+    """A feed of which every third row comes again later, drained with a restart between."""
+    path = scratch.new_path(spark, "replayed")
+    feed = tables.dirty_orders_feed(spark, sf_dir)
+    for again in (False, True):
+        part = feed.filter(F.col("offset") % 3 == 0) if again else feed
+        part.write.mode("append").parquet(f"{path}/feed")
+        replay.drain_distinct(stream_feed(spark, f"{path}/feed"), f"{path}/rows", f"{path}/offsets", "1 hour")
+    return replay.read_distinct(spark, f"{path}/rows")
+
+
+def _offset_gaps(spark, sf_dir):
+    """Malformed rows are holes among the records; some records come twice."""
+    records = _dirty(spark, sf_dir).select("partition", "offset")
+    return offsets.offset_gaps(records.unionByName(records.filter(F.col("offset") % AGAIN_EVERY < 3)))
+
+
+def _reconcile_diff(spark, sf_dir):
+    path, faulty = _faulty_orderings(spark, sf_dir)
+    produced = job.read_valid(spark, f"{path}/parsed")
+    return differences.reconcile_diff(produced, ordering.keyed(faulty), SORT_KEYS)
+
+
+def _publish_resumed(spark, sf_dir):
+    """Orderings published as text in stretches, by two runs: the first one is stopped."""
+    path = scratch.new_path(spark, "resumed")
+    paths = job.order_feed(tables.dirty_orders_feed(spark, sf_dir), path)
+    read = {}
+    for key, stored in paths.items():
+        target = f"{path}/text/{key}"
+        resumed.publish_resumed(spark, stored, target, STRETCHES, 2, stop_before=2)
+        resumed.publish_resumed(spark, stored, target, STRETCHES, 2)
+        read[key] = resumed.read_published(spark, target)
+    return ordering.keyed(read)
+
+
 def _lines_to_orderings(spark, sf_dir):
     path = scratch.new_path(spark, "lines-feed")
     write_lines(tables.dirty_orders_feed(spark, sf_dir), f"{path}/text")
@@ -365,6 +424,11 @@ QUERIES: dict[str, Query] = {
     "publish_lines": _publish_lines,
     "stream_three_orderings": _stream_three_orderings,
     "incremental_orderings": _incremental_orderings,
+    "idle_cut_stream": _idle_cut_stream,
+    "drain_replayed": _drain_replayed,
+    "offset_gaps": _offset_gaps,
+    "reconcile_diff": _reconcile_diff,
+    "publish_resumed": _publish_resumed,
     "lines_to_orderings": _lines_to_orderings,
     "reconcile_faults": _reconcile_faults,
     "verify_faults": _verify_faults,

@@ -42,6 +42,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a file or folder, if it is there, wherever Spark can reach it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
