@@ -22,14 +22,14 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+def stored(frame: DataFrame, label: str, **options: str) -> DataFrame:
     """The rows once written to the shared folder, and read from there from now on.
 
     Later jobs see the same rows whatever is computed again, and an executor that is
     lost takes nothing with it.
     """
     path = new_path(frame.sparkSession, label)
-    frame.write.mode("overwrite").parquet(path)
+    frame.write.mode("overwrite").options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -114,25 +114,39 @@ def emitted(values: np.ndarray, order: int) -> np.ndarray:
 
 
 _KEY = pa.struct([("cls", pa.int64()), ("size", pa.int64())])
+_TOKENS = pa.list_(pa.int64())
 _SETS = pa.schema([
     ("doc_id", pa.int64()), ("key", pa.int64()), ("cls", pa.int64()), ("size", pa.int64()), ("n", pa.int64()),
+    ("emitted", _TOKENS),
 ])
+#: Classes a task remembers in order not to emit their shingles again.
+HELD_CLASSES = 200_000
 
 
-def _class_of(values: np.ndarray) -> tuple[int, int]:
+def _class_of(values: np.ndarray, count: int) -> tuple[int, int]:
     """A set's class: 64 bits of a digest, with its size and the number it emits."""
     digest = hashlib.blake2b(values.tobytes(), digest_size=8).digest()
-    return int.from_bytes(digest, "little", signed=True), len(values) << 32 | len(emitted(values, 0))
+    return int.from_bytes(digest, "little", signed=True), len(values) << 32 | count
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, key, class and size of the set of every text."""
+    """doc_id, key, class and size of the set of every text; what the class emits, unless
+    this task has emitted it not long before."""
     hashed = _WordHash()
+    known: set[tuple[int, int]] = set()
     for batch in sliced(batches):
-        made = [shingles(t, hashed) for t in batch["text"].cast(pa.binary()).to_pylist()]
-        cls, size = zip(*map(_class_of, made), strict=True) if made else ((), ())
+        made = []
+        for text in batch["text"].cast(pa.binary()).to_pylist():
+            values = shingles(text, hashed)
+            sent = emitted(values, 0)
+            key = _class_of(values, len(sent))
+            made.append((*key, len(values), None if key in known or not len(sent) else sent))
+            if len(known) >= HELD_CLASSES:
+                known.clear()
+            known.add(key)
+        cls, size, n, sent = zip(*made, strict=True) if made else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["key"], *(pa.array(x, pa.int64()) for x in (cls, size, map(len, made)))],
+            [batch["doc_id"], batch["key"], *(pa.array(x, pa.int64()) for x in (cls, size, n)), pa.array(list(sent), _TOKENS)],
             schema=_SETS,
         )
 
@@ -142,15 +156,15 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     ``more`` are the other classes of the batch that have the token.
     """
-    hashed = _WordHash()
     held: dict[tuple[int, int], np.ndarray] = {}
     count = 0
-    for batch in sliced(batches):
-        for text in batch["text"].cast(pa.binary()).to_pylist():
-            values = shingles(text, hashed)
-            key = _class_of(values)
-            if len(values) and key not in held:
-                held[key] = emitted(values, 0)
+    for batch in batches:
+        cls, size = batch["cls"].to_numpy(), batch["size"].to_numpy()
+        values = batch["emitted"].flatten().to_numpy()
+        ends = np.cumsum(batch["emitted"].value_lengths().to_numpy())
+        for i, key in enumerate(zip(cls.tolist(), size.tolist(), strict=True)):
+            if key not in held:
+                held[key] = values[ends[i - 1] if i else 0 : ends[i]]
                 count += len(held[key])
         if count > 1 << 21:
             yield from _combined(held)
@@ -197,7 +211,7 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = {}
         for text in batch["text"].cast(pa.binary()).to_pylist():
             values = shingles(text, hashed)
-            made.setdefault(_class_of(values), values)
+            made.setdefault(_class_of(values, len(emitted(values, 0))), values)
         longs = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
@@ -242,8 +256,8 @@ def _prefixes(shared: DataFrame, order: int) -> DataFrame:
     )
 
 
-def _first_prefixes(rows: DataFrame) -> DataFrame:
-    spread = rows.mapInArrow(
+def _first_prefixes(narrow: DataFrame) -> DataFrame:
+    spread = narrow.where("emitted is not null").select("cls", "size", "emitted").mapInArrow(
         _tokens, "token long, cls long, size long, more array<struct<cls:bigint,size:bigint>>"
     ).select("token", F.struct("cls", "size").alias("own"), "more")
     same = Window.partitionBy("token")
@@ -393,9 +407,11 @@ def groups(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.withColumn("key", F.xxhash64("text"))
     narrow = stored(
-        rows.mapInArrow(_sets, "doc_id long, key long, cls long, size long, n long"), "jaccard-sets"
+        rows.mapInArrow(_sets, "doc_id long, key long, cls long, size long, n long, emitted array<long>"),
+        "jaccard-sets", **{"parquet.enable.dictionary#emitted.list.element": "false"},
     )
-    first = stored(_first_prefixes(rows.select("text")), "jaccard-first")
+    first = stored(_first_prefixes(narrow), "jaccard-first")
+    narrow = narrow.drop("emitted")
     spread = first.select("node", F.col("lone").alias("rank"), F.explode("prefix").alias("token"))
     several = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(spread.join(several, "token").select("token", "node", "rank"), "jaccard-members")

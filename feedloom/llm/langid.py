@@ -226,11 +226,16 @@ def learn(labelled: DataFrame, seed: int = 0) -> Network | None:
     return network
 
 
-def identify(docs: DataFrame, network: Network | None, kept: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``kept`` (not named text), lang_pred and score of every row of ``docs``."""
+def identify(
+    docs: DataFrame, network: Network | None, kept: tuple[str | Column, ...] = ("doc_id",), with_text: bool = False
+) -> DataFrame:
+    """The columns ``kept`` (not named text), lang_pred and score of every row of ``docs``,
+    and the text after them ``with_text``, which then passes the workers once."""
     rows = docs.select(*kept, F.col("text").cast("string").alias("text"))
     schema = rows.drop("text").schema.add("lang_pred", "string").add("score", "double")
     names = schema.names[:-2]
+    if with_text:
+        schema = schema.add("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         applied = Applied(network) if network else None
@@ -242,9 +247,29 @@ def identify(docs: DataFrame, network: Network | None, kept: tuple[str | Column,
                 found, score = applied.predict([texts[i].encode() for i in known])
                 for i, language, probability in zip(known, found, score, strict=True):
                     labels[i], scores[i] = applied.network.languages[language], float(probability)
+            made = [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
-                [*names, "lang_pred", "score"],
+                [*batch.columns[:-1], *made, *batch.columns[-1:] * with_text], schema.names
             )
 
     return rows.mapInArrow(run, schema)
+
+
+#: A document is undecided, and not accepted, below so many times the even share of a language.
+UNDECIDED = 1.1
+
+
+def accepted(docs: DataFrame, network: Network | None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language the network can tell.
+
+    Rejected are documents without a letter, and those whose likeliest language has hardly
+    more than an even share of the probability. Without a network, that is without any
+    labelled document to learn from, nothing is known of any row, and all stay.
+    """
+    if network is None:
+        return docs
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("_row")
+    named = identify(docs.select(others, "text"), network, ("_row",), with_text=True)
+    sure = F.col("score") >= UNDECIDED / max(len(network.languages), UNDECIDED)
+    columns = [F.col("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    return named.where((F.col("lang_pred") != UNKNOWN) & sure).select(*columns)

@@ -7,7 +7,7 @@ import pytest
 from compare import duck, duck_rows, spark_rows
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, exact_dedup, oracles, queries
+from feedloom.llm import chat, exact_dedup, langid, oracles, pii, queries
 from feedloom.llm.mixing import size_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -81,7 +81,10 @@ def test_pipeline_against_brute_force(spark):
 
     read = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in read.collect()}
-    texts = {i: t for i, t in texts.items() if t and re.search(r"[^\W\d_]", t)}
+    named = langid.identify(read, langid.learn(read)).collect()
+    told = {r["doc_id"] for r in named if r["lang_pred"] != "und" and r["score"] >= 1.1 / 4}
+    assert all(re.search(r"[^\W\d_]", texts[i]) for i in told) and len(told) >= 0.97 * len(texts)
+    texts = {i: t for i, t in texts.items() if i in told}
     last = {}
     for i in sorted(texts):
         last[texts[i]] = i
@@ -96,3 +99,64 @@ def test_pipeline_against_brute_force(spark):
     assert abs(taken - 1.5 * sum(sizes.values())) <= sum(sorted(sizes.values())[-20:])
     assert found.where(F.size("ids") != F.col("n_tokens")).count() == 0
     assert exact_dedup.survivors(read).count() == len({r["text"] for r in read.collect()})
+
+
+def test_language_stage_decides_by_the_network(spark, docs):
+    """Documents that look like no language more than another go; without labels all stay."""
+    stage = corpus_pipeline.STAGES[0][1]
+    given = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    unlabelled = given.withColumn("lang", F.lit(None).cast("string"))
+    assert stage(spark, unlabelled, SMALL).count() == given.count()
+    even = langid.Network.fresh(["a", "b", "c"], 0)
+    even.weights[:] = 0
+    assert langid.accepted(given, even).count() == 0
+    sure = langid.Network.fresh(["a", "b", "c"], 0)
+    sure.weights[:], sure.offset[:] = 0, [3, 0, 0]
+    lettered = [r["doc_id"] for r in given.collect() if re.search(r"[^\W\d_]", r["text"] or "")]
+    assert sorted(map(str, lettered)) == sorted(str(r["doc_id"]) for r in langid.accepted(given, sure).collect())
+
+
+# The contract's own patterns and checks.
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [2 * int(d) if i % 2 else int(d) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+VALID = {
+    "email": lambda m: True,
+    "ip": lambda m: all(int(part) <= 255 for part in m.split(".")),
+    "card": lambda m: 12 <= len(d := re.sub("[^0-9]", "", m)) <= 19 and luhn(d),
+    "phone": lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15,
+}
+
+
+def test_personal_data_of_the_query_is_that_of_the_contract(spark):
+    import hashlib
+
+    folder = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = {r["doc_id"]: r for r in queries.op9_pii(spark, folder).collect()}
+    kinds = list(PATTERNS)
+    some = 0
+    for doc_id, text in texts.items():
+        spans = [
+            (m.start(), k, m.end()) for k, kind in enumerate(kinds)
+            for m in re.finditer(PATTERNS[kind], text) if VALID[kind](m[0])
+        ]
+        some += bool(spans)
+        row = found[doc_id]
+        counts = [sum(s[1] == k for s in spans) for k in range(4)]
+        assert [row[f"n_{kind}"] for kind in kinds] == counts, doc_id
+        base = ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(spans))
+        assert row["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+        every = row["spans"].split(",")
+        assert not spans or set(base.split(",")) <= set(every)
+    assert some >= 40 and pii.KINDS[:4] == tuple(kinds)
