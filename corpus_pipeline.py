@@ -14,10 +14,8 @@ from feedloom.llm.common import stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of some language; those without text or any letter go."""
-    row = F.struct(*docs.columns).alias("_row")
-    named = langid.identify(docs.select(row, "text"), langid.learn(docs), ("_row",))
-    return named.where(F.col("lang_pred") != langid.UNKNOWN).select("_row.*")
+    """Documents whose language a network learnt from the labelled ones can tell."""
+    return langid.accepted(docs, langid.learn(docs))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
