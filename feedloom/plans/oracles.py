@@ -145,6 +145,26 @@ SELECT interval_no, records, records_so_far, records / {day} AS current_rate,
 UNION ALL SELECT interval_no, n, NULL, NULL, NULL FROM counted WHERE interval_no IS NULL"""
 
 
+def _throughput_stream() -> str:
+    """A batch's late rows are judged by the watermark that the batch before it had."""
+    day = q.DAY_SECONDS * 1_000_000
+    passed = f"(epoch_us({{}}) // 1000 * 1000 - {q.LATE_SECONDS * 1_000_000})"
+    return f""",
+days AS (SELECT d, ntile({q.RATE_SLICES}) OVER (ORDER BY d) AS slice
+  FROM (SELECT DISTINCT date_trunc('day', ts) AS d FROM feed)),
+sliced AS (SELECT ts, least(slice + CASE WHEN off % {q.HELD_EVERY} = 0 THEN {q.HELD_SLICES} ELSE 0 END,
+  {q.RATE_SLICES}) AS slice, (epoch_us(ts) - epoch_us(TIMESTAMP '{q.EVENTS_START}')) // {day} AS interval_no
+  FROM ok JOIN days ON date_trunc('day', ts) = d),
+ended AS (SELECT *, epoch_us(TIMESTAMP '{q.EVENTS_START}') + (interval_no + 1) * {day} AS ends FROM sliced),
+heads AS (SELECT s.slice, max(e.ts) AS seen FROM (SELECT DISTINCT slice FROM sliced) s
+  JOIN sliced e ON e.slice <= s.slice - 2 GROUP BY 1),
+judged AS (SELECT e.interval_no, e.ends, coalesce(e.ends <= {passed.format("h.seen")}, false) AS late
+  FROM ended e LEFT JOIN heads h USING (slice))
+SELECT interval_no, count(*) FILTER (WHERE NOT late) AS records, count(*) FILTER (WHERE late) AS late,
+  ends <= (SELECT {passed.format("max(ts)")} FROM sliced) AS closed
+FROM judged GROUP BY interval_no, ends"""
+
+
 _RECORDS = f"raw, id, name, address, continent, {_PLACE}, ts AS \"timestamp\""
 _PARSE = (
     "SELECT raw, CASE WHEN error IS NULL THEN id END AS id,"
@@ -187,6 +207,7 @@ SELECT {_RECORDS} FROM cut WHERE past = 0""")
                       " max(off) + 1 AS end_offset FROM feed GROUP BY part",
         "throughput": _on(_EVENTS, _throughput()),
         "throughput_dirty": _on(_EVENTS, _throughput_dirty()),
+        "throughput_stream": _on(_EVENTS, _throughput_stream()),
         "milestones": _on(_EVENTS, f""",
 started AS (SELECT part, min(ts) AS started FROM ok GROUP BY part)
 SELECT part AS "partition", rank AS records, ts AS reached_at,

@@ -19,7 +19,7 @@ from feedloom.sinks import resumed
 from feedloom.sinks.files import write_feed, write_lines, write_runs, write_stored_lines
 from feedloom.sources import synthetic, tables
 from feedloom.sources.files import lines_feed, read_ordered_lines, scan_feed, scan_lines, stream_feed
-from feedloom.streaming import drain, idle, replay
+from feedloom.streaming import drain, idle, rates, replay
 
 # Parameters the queries share with their SQL counterparts.
 SEED = 42
@@ -43,6 +43,9 @@ DRAINS = 3
 SLICES = 4
 LATE_SECONDS = 86_400
 AGAIN_EVERY = 700
+RATE_SLICES = 8
+HELD_EVERY = 50
+HELD_SLICES = 3
 STRETCHES = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -316,23 +319,40 @@ def _incremental_orderings(spark, sf_dir):
     return ordering.keyed({key: ordering.read_ordering(spark, p) for key, p in paths.items()})
 
 
-def _idle_cut_stream(spark, sf_dir):
-    """The events feed in the order of time, as four files, one per micro-batch."""
-    path = scratch.new_path(spark, "idle-stream")
+def _write_slices(spark, sf_dir, path, number_of, held=None):
+    """The events feed in the order of time, a file per slice; some rows ``held`` for later slices."""
     feed = tables.events_feed(spark, sf_dir)
-    quarter = F.ntile(SLICES).over(Window.orderBy("day")).alias("slice")
+    share = F.ntile(number_of).over(Window.orderBy("day")).alias("slice")
     day = F.date_trunc("day", "timestamp").alias("day")
-    slices, _ = stored_rows(feed.select(day).distinct().select("day", quarter), "event-days")
+    slices, _ = stored_rows(feed.select(day).distinct().select("day", share), "event-days")
     cut = feed.withColumn("day", day).join(slices, "day").drop("day")
-    for number in range(1, SLICES + 1):
+    if held is not None:
+        cut = cut.withColumn("slice", F.least(F.col("slice") + held, F.lit(number_of)))
+    for number in range(1, number_of + 1):
         part = cut.filter(F.col("slice") == number).drop("slice")
-        part.coalesce(1).write.mode("append").parquet(f"{path}/feed")
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def _idle_cut_stream(spark, sf_dir):
+    """The events feed in the order of time, as four files, one per micro-batch."""
+    path = scratch.new_path(spark, "idle-stream")
+    _write_slices(spark, sf_dir, f"{path}/feed", SLICES)
     idle.drain_idle_cut(
         stream_feed(spark, f"{path}/feed", 1), f"{path}/out", f"{path}/offsets", HOUR_SECONDS, LATE_SECONDS
     )
     return drain.read_batches(spark, f"{path}/out/rows")
 
 
+def _throughput_stream(spark, sf_dir):
+    """The events feed in eight slices of time; every 50th row comes three slices later."""
+    path = scratch.new_path(spark, "throughput-stream")
+    held = F.when(F.col("offset") % HELD_EVERY == 0, HELD_SLICES).otherwise(0)
+    _write_slices(spark, sf_dir, f"{path}/feed", RATE_SLICES, held)
+    limits = (DAY_SECONDS, EVENTS_START, LATE_SECONDS)
+    rates.drain_throughput(stream_feed(spark, f"{path}/feed", 1), f"{path}/out", f"{path}/offsets", *limits)
+    return rates.read_throughput(spark, f"{path}/out", *limits)
+
+
 def _drain_replayed(spark, sf_dir):
     """A feed of which every third row comes again later, drained with a restart between."""
     path = scratch.new_path(spark, "replayed")
@@ -408,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "topic_size": _topic_size,
     "throughput": _throughput,
     "throughput_dirty": _throughput_dirty,
+    "throughput_stream": _throughput_stream,
     "milestones": _milestones,
     "completion_summary": _completion_summary,
     "reconcile": _reconcile,

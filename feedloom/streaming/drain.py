@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from feedloom.contract import SORT_KEYS, sort_columns
 from feedloom.operators.intake import parse_feed, valid_records
@@ -104,20 +101,3 @@ def intake_sessions(feed: DataFrame, idle_seconds: int, lateness: str = "0 secon
             "records",
         )
     )
-
-
-def stop_when_idle(query: StreamingQuery, idle_seconds: float, poll_seconds: float = 1.0) -> None:
-    """Stop a running query once it has taken in nothing for ``idle_seconds``."""
-    last_row = time.monotonic()
-    seen = -1
-    while query.isActive:
-        # All batches since the last look, not only the latest, which may be an empty one.
-        taken = [p.batchId for p in query.recentProgress if p.numInputRows > 0 and p.batchId > seen]
-        if taken:
-            seen, last_row = max(taken), time.monotonic()
-        if time.monotonic() - last_row > idle_seconds and not query.status["isTriggerActive"]:
-            query.stop()
-            return
-        time.sleep(poll_seconds)
-    if query.exception() is not None:
-        raise query.exception()
