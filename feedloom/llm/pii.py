@@ -5,10 +5,13 @@ value is a protected entity. The words outside entities, in the whole of each te
 candidates: over the corpus, the pointwise mutual information of word and entity, as a
 share of the entity's own information content, says how much of the entity the word
 discloses (1: whoever sees the word knows the entity). A word at or above a threshold for
-any entity is a span of kind ``term`` wherever it stands outside entities, in documents
-with the entity and in others; there is no floor of texts, so that an entity written once
-is judged like others. Sanitising generalises a name to ``[NAME]``, removes other terms,
-and puts the kind in the place of an entity.
+any entity is a span of kind ``term`` wherever it stands outside entities in documents
+that have an entity; there is no floor of texts, so that an entity written once is judged
+like others. In documents without any entity it is one only if the two did not meet by
+chance: the lower bound of P(entity | word), by Wilson's interval of one side at 95 %,
+must be OUTSIDE or more, whatever N is, and reach the threshold of the share, too. One
+meeting is never enough for a word that is in other texts besides. Sanitising generalises a
+name to ``[NAME]``, removes other terms, and puts the kind in the place of an entity.
 
     share = log2(N / n_e * (n_et + SMOOTH * n_e / N) / (n_t + SMOOTH)) / log2(N / n_e)
 
@@ -43,6 +46,9 @@ KINDS = ("email", "ip", "card", "phone", "term")
 SHARE = 0.75
 #: Texts without the entity that every term counts as having been seen in besides.
 SMOOTH = 0.5
+#: The lower bound of P(entity | term) from which a term is marked where no entity is, and
+#: the quantile of the normal distribution for 95 %.
+OUTSIDE, QUANTILE = 0.25, 1.6449
 #: The share of all documents from which a word or an entity is frequent.
 FREQUENT = 0.001
 #: Bits of the bitmap for each term, and at most.
@@ -203,8 +209,15 @@ def _together(found: DataFrame, entities: DataFrame, words: DataFrame, total: in
     return pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
 
 
+def surely(hits: Column, trials: Column) -> Column:
+    """The lower end of Wilson's interval for a share of ``hits`` in ``trials``."""
+    z, p = F.lit(QUANTILE), hits / trials
+    spread = z * F.sqrt(p * (1 - p) / trials + z * z / (4 * trials * trials))
+    return (p + z * z / (2 * trials) - spread) / (1 + z * z / trials)
+
+
 def _disclosing(found: DataFrame, rows: DataFrame, total: int, share: float) -> DataFrame:
-    """term, n_t of every term that discloses some entity."""
+    """term, n_t of every term that discloses some entity; outside: also where no entity is."""
     entities = stored(
         found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")),
         "pii-entities",
@@ -216,10 +229,12 @@ def _disclosing(found: DataFrame, rows: DataFrame, total: int, share: float) ->
     information = F.log2(F.lit(float(total)) / F.col("n_e"))
     chance = (F.col("n_et") + SMOOTH * F.col("n_e") / F.lit(float(total))) / (F.col("n_t") + SMOOTH)
     mutual = F.log2(F.lit(float(total)) / F.col("n_e") * chance)
+    bound = surely(F.col("n_et").cast("double"), F.col("n_t").cast("double"))
+    certain = (bound >= OUTSIDE) & (F.log2(F.lit(float(total)) / F.col("n_e") * bound) >= F.lit(share) * information)
     return stored(
         _together(found, entities, words, total, share).join(entities, "entity").join(words, "term")
         .where((information > 0) & (mutual >= F.lit(share) * information))
-        .groupBy("term").agg(F.max("n_t").alias("n_t")),
+        .groupBy("term").agg(F.max("n_t").alias("n_t"), F.bool_or(certain).alias("outside")),
         "pii-disclosing",
     )
 
@@ -243,20 +258,22 @@ def _bitmap(terms: DataFrame) -> bytes:
 def _occurrences(rows: DataFrame, disclosing: DataFrame, total: int) -> DataFrame:
     """of, key, places: where disclosing terms stand outside entities; several rows of a text."""
     is_often = F.col("n_t") > FREQUENT * total
-    often = frozenset(r["term"] for r in disclosing.where(is_often).select("term").collect())
-    rare = disclosing.where(~is_often).select("term")
-    bitmap = _bitmap(rare)
-    mask = 8 * len(bitmap) - 1
+    often = {r["term"]: r["outside"] for r in disclosing.where(is_often).select("term", "outside").collect()}
+    rare = disclosing.where(~is_often).select("term", "outside")
+    near, far = _bitmap(rare), _bitmap(rare.where("outside"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known: dict[str, tuple[int, int]] = {}
 
-        def look(term: str) -> int:
-            """2: discloses; 1: may disclose; 0: does not."""
+        def look(term: str) -> tuple[int, int]:
+            """In texts with an entity and in others, 2: discloses; 1: may disclose; 0: does not."""
             if len(known) >= HELD_WORDS:
                 known.clear()
-            place = zlib.crc32(term.encode("utf-8", "surrogatepass")) & mask
-            known[term] = found = 2 if term in often else bitmap[place >> 3] >> (place & 7) & 1
+            code = zlib.crc32(term.encode("utf-8", "surrogatepass"))
+            may = [bits[at >> 3] >> (at & 7) & 1 for bits in (near, far) for at in [code & 8 * len(bits) - 1]]
+            if term in often:
+                may = [2, 2 if often[term] else 0]
+            known[term] = found = (may[0], may[1])
             return found
 
         for batch in sliced(batches):
@@ -265,36 +282,40 @@ def _occurrences(rows: DataFrame, disclosing: DataFrame, total: int) -> DataFram
                 hits = {}
                 for word in set(_WORD.findall(text)):
                     term = word.lower()
-                    state = known.get(term, -1)
-                    state = look(term) if state < 0 else state
-                    if state:
+                    state = known.get(term) or look(term)
+                    if state[0]:
                         hits[word] = state
                 if not hits:
                     continue
                 sure, may, base = [], {}, find_base(text)
                 if base:
-                    states = {word.lower(): state for word, state in hits.items()}
+                    states = {word.lower(): state[0] for word, state in hits.items()}
                     places = ((t, a, b) for t, a, b in _free_words(text, base) if t in states)
                 else:
-                    states = hits
-                    places = ((word, a, b) for word in hits for a, b in _places(text, word))
+                    states = {word: state[1] for word, state in hits.items() if state[1]}
+                    places = ((word, a, b) for word in states for a, b in _places(text, word))
                 for word, start, end in places:
                     (sure if states[word] == 2 else may.setdefault(word.lower(), [])).append(
                         {"start": start, "kind": 4, "end": end}
                     )
-                out += [(of, key, None, sure)] * bool(sure) + [(of, key, term, at) for term, at in may.items()]
+                own = bool(base)
+                out += [(of, key, None, own, sure)] * bool(sure)
+                out += [(of, key, term, own, at) for term, at in may.items()]
             if out:
-                columns = zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.string(), _PLACES), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["of", "key", "term", "places"])
+                kinds = (pa.string(), pa.int64(), pa.string(), pa.bool_(), _PLACES)
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["of", "key", "term", "own", "places"])
 
     seen = stored(
         rows.select("of", "key", "text").mapInArrow(
-            run, "of string, key long, term string, places array<struct<start:int,kind:int,end:int>>"
+            run,
+            "of string, key long, term string, own boolean, places array<struct<start:int,kind:int,end:int>>",
         ),
         "pii-seen",
     )
-    sure = seen.where("term is null").drop("term")
-    return sure.unionByName(seen.where("term is not null").join(rare, "term").select("of", "key", "places"))
+    sure = seen.where("term is null").select("of", "key", "places")
+    rest = seen.where("term is not null").join(rare, "term").where("own or outside")
+    return sure.unionByName(rest.select("of", "key", "places"))
 
 
 def find_spans(docs: DataFrame, share: float = SHARE) -> DataFrame:
