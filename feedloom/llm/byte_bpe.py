@@ -9,8 +9,8 @@ together with numpy. Decoding has a table of bytes by id and lays them end to en
 
 Offsets are in code points of the text, end exclusive. A character may be split over
 several tokens; these all cover it whole, and ``n_split`` counts tokens that begin or end
-inside one. Decoding a run of tokens that begins or ends inside a character gives U+FFFD
-for the broken bytes, as ``errors="replace"`` does; the bytes themselves are exact.
+inside one. ``decode`` gives the bytes, which are exact; ``decode_text`` also gives the text,
+with U+FFFD for the broken bytes of a run of tokens that begins or ends inside a character.
 
 Defined cases: a null text is an empty one and has no tokens; whole texts are encoded,
 whatever their length; equal texts have equal ids; special tokens are ordinary text; ids
@@ -254,6 +254,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select(*kept).mapInArrow(run, schema.add("decoded", "binary"))
 
 
+def decode_text(encoded: DataFrame, path: str) -> DataFrame:
+    """As ``decode``, and the text of the bytes, U+FFFD in the place of broken ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            texts = [None if b is None else b.decode("utf-8", "replace") for b in batch["decoded"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
+
+    decoded = decode(encoded, path)
+    schema = decoded.select("*").schema  # ``add`` changes the schema it is called on
+    return decoded.mapInArrow(run, schema.add("text", "string"))
+
+
 def _lists(ids: pa.ListArray) -> Iterator[list[int]]:
     for row in ids:
         values = row.values

@@ -115,12 +115,26 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, hashes array<long>, positions array<long>")
 
 
+def steps_of(positions: np.ndarray, window: int = WINDOW) -> str:
+    """Positions as steps from one to the next, the first from the beginning, in hexadecimal
+    digits of equal width; a step is never longer than the window."""
+    steps, width = np.diff(positions, prepend=0), len(f"{window:x}")
+    digits = steps[:, None] >> (4 * np.arange(width)[::-1]) & 15
+    return np.frombuffer(b"0123456789abcdef", np.uint8)[digits].tobytes().decode()
+
+
+def places_of(steps: str, window: int = WINDOW) -> np.ndarray:
+    """The positions that ``steps_of`` has written."""
+    width = len(f"{window:x}")
+    return np.cumsum([int(steps[i : i + width], 16) for i in range(0, len(steps), width)], dtype=np.int64)
+
+
 class _Doc:
     """A text in hand, with what is computed of it once."""
 
     def __init__(self, doc_id: int | None, text: str):
         self.doc_id, self.text = doc_id, text
-        self.hashes = winnow(text)[0]
+        self.hashes, self.places = winnow(text)
         self.set = np.unique(self.hashes)
 
 
@@ -128,18 +142,20 @@ _RESULT = pa.schema([
     ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
     ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
     ("near_edited", pa.float64()), ("near_next", pa.float64()),
+    ("steps", pa.string()), ("edited_steps", pa.string()),
 ])
 
 
 def _compare(doc: _Doc, following: _Doc) -> tuple:
     half = len(doc.text) // 2
     edited = doc.text[: len(doc.text) - half] + following.text[:half]
-    changed = winnow(edited)[0]
+    changed, at = winnow(edited)
     as_text = lambda hashes: hashes.astype(">u4").tobytes().hex()
     return (
         doc.doc_id, len(doc.text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
         as_text(doc.hashes), as_text(changed),
         likeness(doc.set, np.unique(changed)), likeness(doc.set, following.set),
+        steps_of(doc.places), steps_of(at),
     )
 
 
@@ -165,7 +181,8 @@ def edited(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Each text's fingerprint beside those of its edited form and of the next document.
 
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hashes by position, 8
-    hexadecimal digits each), near_edited, near_next. ``ranges``: how many ranges of
+    hexadecimal digits each), near_edited, near_next, steps, edited_steps (the positions of the
+    hashes, as ``steps_of`` writes them). ``ranges``: how many ranges of
     doc_id to deal rows into; the session's shuffle width if not given. What comes to the
     driver is one number for each range.
     """

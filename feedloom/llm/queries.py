@@ -17,13 +17,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = byte_bpe.encode(
-        table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, offsets=False
+        table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN
     )
-    return byte_bpe.decode(encoded, path).select(
+    digest = F.sha2(F.concat_ws(",", F.array_join("starts", " "), F.array_join("ends", " ")), 256)
+    return byte_bpe.decode(encoded.withColumn("offsets_sha256", digest), path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        "n_split",
+        "n_split", "offsets_sha256",
     )
 
 

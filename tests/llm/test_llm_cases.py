@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
@@ -48,6 +49,18 @@ def test_bpe_offsets_cover_the_text(docs):
         assert row["n_split"] > 0 and row["ends"][-1] == len(text)
 
 
+def test_bpe_broken_characters_are_replaced(spark):
+    rows = spark.createDataFrame([(1, "a\U0001f98a\u00e9b"), (2, "")], "doc_id long, text string")
+    encoded = byte_bpe.encode(rows, PATH, public_tokenizers.PATTERN)
+    whole = {r["doc_id"]: r["text"] for r in byte_bpe.decode_text(encoded, PATH).collect()}
+    assert whole == {1: "a\U0001f98a\u00e9b", 2: ""}
+    parts = encoded.where("doc_id = 1").selectExpr(
+        "doc_id", "explode(sequence(0, size(ids))) as n", "ids as given").selectExpr("n as doc_id", "slice(given, 1, n) as ids")
+    for r in byte_bpe.decode_text(parts, PATH).collect():
+        assert r["text"] == bytes(r["decoded"]).decode("utf-8", "replace")
+        assert "\ufffd" in r["text"] or r["text"] == whole[1][: len(r["text"])]
+
+
 def test_exact_dedup(docs, none):
     groups = {}
     for doc_id, text in texts_of(docs):
@@ -156,6 +169,23 @@ def test_fingerprints(docs, none):
     for ranges in (1, 3, 50):
         found = fingerprints.edited(docs, ranges).collect()
         assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found) == expected
+        # Likeness and positions, by sets.
+        near = Counter()
+        for r in found:
+            places = fingerprints.places_of(r["steps"])
+            assert len(places) * 8 == len(r["fingerprint"])
+            near[r["doc_id"], r["near_edited"], r["near_next"], tuple(places.tolist())] += 1
+
+        def like(a, b):
+            a, b = (set(fingerprints.winnow(t)[0].tolist()) for t in (a, b))
+            return len(a & b) / len(a | b) if a | b else 1.0
+
+        assert near == Counter(
+            (i, like(t, t[: len(t) - len(t) // 2] + u[: len(t) // 2]), like(t, u), tuple(fingerprints.winnow(t)[1].tolist()))
+            for (i, t), (_, u) in zip(ordered, ordered[1:] + ordered[:1], strict=True)
+        )
+    assert fingerprints.places_of(fingerprints.steps_of(np.array([3, 40, 57]), 40), 40).tolist() == [3, 40, 57]
+    assert fingerprints.steps_of(np.array([], np.int64)) == "" and fingerprints.places_of("").tolist() == []
     prints = fingerprints.fingerprint(docs)
     assert prints.where("size(hashes) <> size(positions)").count() == 0
     assert fingerprints.edited(none).count() == 0 and fingerprints.fingerprint(none).count() == 0
@@ -165,8 +195,6 @@ def test_winnowing_by_brute_force():
     for text in ("", "a", "abab" * 9, "abcabdabe" * 5, "zzzzzzzzzzzzzzz"):
         for gram, window in ((1, 1), (3, 4), (5, 9)):
             points = [ord(c) for c in text]
-            import numpy as np
-
             size = min(gram, len(text))
             hashes = [
                 int(fingerprints.gram_hashes(np.array(points[i : i + size], np.uint32), size)[0])

@@ -1,5 +1,6 @@
 """The registered queries and the pipeline on the given tables, against SQL or brute force."""
 
+import hashlib
 import re
 
 import corpus_pipeline
@@ -160,3 +161,28 @@ def test_personal_data_of_the_query_is_that_of_the_contract(spark):
         every = row["spans"].split(",")
         assert not spans or set(base.split(",")) <= set(every)
     assert some >= 40 and pii.KINDS[:4] == tuple(kinds)
+
+
+def test_offsets_of_the_bpe_query(spark):
+    """The digest of the query is that of the offsets that the tokens' bytes have."""
+    import public_tokenizers
+
+    from feedloom.llm import byte_bpe
+
+    table = byte_bpe.byte_table(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    found = {r["doc_id"]: r for r in queries.op1_byte_bpe(spark, "/root/testdata/sf0.001").collect()}
+    encoded = byte_bpe.encode(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+    )
+    ids = {r["doc_id"]: r["ids"] for r in encoded.collect()}
+    for doc_id, text in docs:
+        owner = [i for i, c in enumerate(text or "") for _ in c.encode()]
+        starts, ends, at = [], [], 0
+        for token in ids[doc_id]:
+            starts.append(owner[at])
+            at += len(table[token])
+            ends.append(owner[at - 1] + 1)
+        line = ",".join(" ".join(map(str, x)) for x in (starts, ends))
+        assert found[doc_id]["offsets_sha256"] == hashlib.sha256(line.encode()).hexdigest()
