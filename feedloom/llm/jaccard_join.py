@@ -16,9 +16,10 @@ prefixes nearly always end. What is left of a short class is filled by hash.
 4. Links join documents to components. Where many documents share a prefix shingle, not
    all pairs are looked at: the documents of a shingle are compared with a hub first, the
    one with the smallest share of shingles of its own, which is nearest to what copies
-   have in common; then with the next such one, and so on while that leaves much less to
-   do. Then all pairs that share a shingle, but not yet a component, are candidates. Pairs
-   in one component change nothing, so no link between components is lost. These pairs
+   have in common. Then they are compared with a few that a hash draws, with STEP times as
+   many, and so on to all; each time only pairs that share a shingle, but not yet a
+   component, are candidates. Many near copies are one component after a few draws, and
+   pairs in one component change nothing, so no link between components is lost. Pairs
    pass a bitmap first: sets differ in at least as many shingles as the parities of their
    shingles by BITS hash values do. Each is made at its first common shingle; the LOWEST
    smallest shingles of each prefix tell that nearly always, so rows stay short however
@@ -58,8 +59,9 @@ CLASSES, FIRST = 8, 3
 BITS = 512
 #: Shingles of a prefix that are carried along to know a pair's first common one.
 LOWEST = 16
-#: More hubs are tried while more than so many pairs for a member of a token are left.
-FEW_PAIRS = 4
+#: All pairs across components are looked at at once if they are so many for a member of a
+#: token; else members are drawn, STEP times as many each time.
+FEW_PAIRS, STEP = 4, 64
 #: Rounds of labels between hubs; a hub and its copies need two.
 LABELS = 2
 CACHED_WORDS = 500_000
@@ -335,61 +337,72 @@ def components(links: DataFrame, label: str = "jaccard-labels", rounds: int | No
 def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataFrame) -> DataFrame:
     """node, part: the components that similar members (token, node, rank) of a token make.
 
-    ``rank`` orders the members of a token as hubs. What is in one component already is
+    The member with the smallest ``rank`` is the hub. What is in one component already is
     only known in order to leave out pairs, so until the end LABELS rounds are enough.
     """
-    links = None
-    now = members.withColumn("part", F.col("node"))
-    hubs = now.groupBy("token").agg(F.min(F.struct("rank", "node", "part")).alias("hub"))
-    work = None
+    hubs = members.groupBy("token").agg(F.min(F.struct("rank", "node")).alias("hub"))
+    pairs = members.join(hubs, "token").where(F.col("node") != F.col("hub.node")).select(
+        F.col("node").alias("a"), F.col("hub.node").alias("b")
+    )
+    links = _add_links(None, pairs, second, sets)
+    words = [F.col("bits")[i].alias(f"bits{i}") for i in range(BITS // 64)]
+    low = F.slice(F.sort_array("prefix"), 1, LOWEST).alias("low")
+    known = stored(
+        first.select("node", low).join(sets.select("node", *words), "node")
+        .join(members.select("node").distinct(), "node", "left_semi"), "jaccard-known",
+    )
+    share = None
     while True:
-        pairs = now.join(hubs, "token").where(F.col("part") != F.col("hub.part")).select(
-            F.col("node").alias("a"), F.col("hub.node").alias("b")
-        )
-        links = _add_links(links, pairs, second, sets)
         now = stored(
             members.join(components(links, rounds=LABELS), "node", "left")
-            .select("token", "node", "rank", F.coalesce("part", "node").alias("part")),
+            .select("token", "node", F.coalesce("part", "node").alias("part")),
             "jaccard-members",
         )
-        # The largest component of each token, how many members are outside of it, and the
-        # next hub.
-        used = hubs.select("token", F.struct("hub.rank", "hub.node").alias("used"))
-        later = F.when(F.struct("rank", "node") > F.col("used"), F.struct("rank", "node", "part"))
-        main = (
-            now.join(used, "token", "left").groupBy("token", "part")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(later).alias("hub"))
-            .groupBy("token").agg(
-                F.max_by("part", F.struct("n", "part")).alias("main"), F.min("hub").alias("hub"),
+        # The largest component of each token, and how many members are outside of it.
+        main = stored(
+            now.groupBy("token", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
+                F.max_by("part", F.struct("n", "part")).alias("main"),
                 F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("outside"),
-            ).where("outside > 0")
+            ).where("outside > 0"), "jaccard-main",
         )
-        main = stored(main, "jaccard-main")
-        left = main.agg(F.sum(F.col("outside") * F.col("all")), F.sum("all")).first()
-        before, work = work, left[0] or 0
-        if work <= FEW_PAIRS * (left[1] or 0) or before is not None and work > 0.8 * before:
-            break
-        hubs = main.where("hub is not null").select("token", "hub")
-    words = [F.col("bits")[i].alias(f"bits{i}") for i in range(BITS // 64)]
-    low = F.slice(F.sort_array("prefix"), 1, LOWEST).alias("low")
-    known = first.select("node", low).join(sets.select("node", *words), "node")
+        share = first_share(*main.agg(F.max("all"), F.sum(F.col("outside") * F.col("all")), F.sum("all")).first()) \
+            if share is None else share // STEP
+        links = _add_links(links, _across(now, main, known, share), second, sets)
+        if share == 1:
+            return components(links)
+
+
+def first_share(most: int | None, pairs: int | None, members: int | None) -> int:
+    """One member in how many is compared with first: so that the token with ``most``
+    members has 4 such at least; all of them, if that makes few pairs."""
+    share = 1
+    if (pairs or 0) > FEW_PAIRS * (members or 0):
+        while most >= 4 * share * STEP:
+            share *= STEP
+    return share
+
+
+def _across(now: DataFrame, main: DataFrame, known: DataFrame, share: int) -> DataFrame:
+    """Pairs (a, b) of members of a token that are not in one component and pass the bitmap;
+    b is one of the members that a hash draws, one in ``share``."""
+    drawn = lambda node: F.pmod(F.xxhash64(node), F.lit(share)) == 0
     detail = stored(
-        now.join(main.select("token", "main"), "token").join(known, "node"), "jaccard-cross"
+        now.join(main.select("token", "main"), "token")
+        .where((F.col("part") != F.col("main")) | drawn("node")).join(known, "node"), "jaccard-cross"
     )
     x, y = (detail.select([F.col(c).alias(f"{c}_{side}") for c in detail.columns]) for side in "xy")
     differ = sum(
         F.bit_count(F.col(f"bits{i}_x").bitwiseXOR(F.col(f"bits{i}_y"))) for i in range(BITS // 64)
     )
     both = F.shiftright(F.col("node_x.size"), 32) + F.shiftright(F.col("node_y.size"), 32)
-    pairs = x.where("part_x != main_x").join(
-        y,
+    return x.where("part_x != main_x").join(
+        y.where(drawn("node_y")),
         (F.col("token_x") == F.col("token_y")) & (F.col("part_x") != F.col("part_y"))
-        & ((F.col("part_y") == F.col("main_y")) | (F.col("node_x") < F.col("node_y")))
+        & ((F.col("part_y") == F.col("main_y")) | (F.col("node_x") < F.col("node_y")) | ~drawn("node_x"))
         & _fits(F.col("node_x"), F.col("node_y"))
         & (both * (100 - SIMILAR) >= differ * (100 + SIMILAR))
         & (F.coalesce(F.array_min(F.array_intersect("low_x", "low_y")), F.col("token_x")) >= F.col("token_x")),
     ).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
-    return components(_add_links(links, pairs, second, sets))
 
 
 def _add_links(

@@ -413,3 +413,23 @@ def test_jaccard_join_cases(docs, none):
     kept = jaccard_join.survivors(docs)
     assert kept.columns == docs.columns and kept.count() == 7
     assert jaccard_join.groups(none).count() == 0 and jaccard_join.survivors(none).count() == 0
+
+
+def test_draws_of_the_jaccard_join_by_brute_force(spark, monkeypatch):
+    import random
+
+    draw = random.Random(8)
+    passage = [f"p{i}" for i in range(24)]
+    rows = []
+    for i in range(260):  # near copies on both sides of the threshold, among texts with one passage
+        own = [f"c{k}" for k in range(60)] if i % 3 == 0 else [f"o{i}-{k}" for k in range(40)]
+        words = passage + own
+        for _ in range(draw.randrange(5)):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(9)}"
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(jaccard_join, "FEW_PAIRS", 0)
+    monkeypatch.setattr(jaccard_join, "STEP", 4)
+    assert jaccard_join.first_share(260, 10_000, 260) == 64 and jaccard_join.first_share(None, None, None) == 1
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.groups(frame).collect()}
+    assert found == brute_components(rows)
