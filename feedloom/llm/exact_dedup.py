@@ -28,8 +28,8 @@ from feedloom.llm.common import stored, text_of
 
 #: Bytes of different texts that a bucket may hold before it is split.
 BUCKET_BYTES = 32 << 20
-#: The directory has at most 2 ** MAX_DEPTH slots; beyond it, buckets grow with the data.
-MAX_DEPTH = 16
+#: A directory can use so many bits of a hash; hashes that differ in none of them are chained.
+HASH_BITS = 63
 
 
 def _slot(depth: int):
@@ -37,36 +37,37 @@ def _slot(depth: int):
     return F.shiftrightunsigned("h", 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def build_directory(
-    sizes: DataFrame, bucket_bytes: int = BUCKET_BYTES, max_depth: int = MAX_DEPTH
-) -> tuple[int, list[int]]:
-    """The depth and, for each slot, the first slot of its bucket.
+def build_directory(sizes: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> tuple[int, DataFrame]:
+    """The depth, and a table: slot, bucket (the first slot of its bucket), bytes.
 
-    ``sizes``: h, bytes; one row per hash. What comes to the driver is one number per
-    slot, 2 ** max_depth at most. The directory doubles until no bucket is overfull; a
-    bucket that needs fewer bits than the directory has keeps several slots.
+    ``sizes``: h, bytes; one row per hash. The directory doubles until no bucket is
+    overfull, but for those of a single hash, which no bit can split. A bucket that needs
+    fewer bits than the directory has keeps several slots. Slots without a hash have no
+    row; only the bytes of the fullest slot come to the driver.
     """
     depth = 0
     while True:
-        rows = sizes.groupBy(_slot(depth).alias("slot")).agg(F.sum("bytes").alias("bytes"))
-        held = {row["slot"]: row["bytes"] for row in rows.toLocalIterator()}
-        most = max(held.values(), default=0)
-        if most <= bucket_bytes or depth == max_depth:
+        slots = sizes.groupBy(_slot(depth).alias("slot")).agg(
+            F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")
+        )
+        most = slots.where("n > 1").agg(F.max("bytes")).first()[0] or 0
+        if most <= bucket_bytes or depth == HASH_BITS:
             break
         # Halving happens a bit at a time; count again only where the next doublings lead.
-        depth = min(max_depth, depth + max(1, (most // bucket_bytes).bit_length()))
-
-    buckets = [0] * (1 << depth)
+        depth = min(HASH_BITS, depth + max(1, (most // bucket_bytes).bit_length()))
 
-    def split(first: int, slots: int) -> None:
-        if slots > 1 and sum(held.get(s, 0) for s in range(first, first + slots)) > bucket_bytes:
-            split(first, slots // 2)
-            split(first + slots // 2, slots // 2)
-        else:
-            buckets[first : first + slots] = [first] * slots
-
-    split(0, 1 << depth)
-    return depth, buckets
+    # A bucket has the fewest first bits with which it is not overfull.
+    slots = stored(slots, "dedup-slots")
+    prefixes = slots.withColumn("bits", F.explode(F.sequence(F.lit(0), F.lit(depth)))).withColumn(
+        "first", F.expr(f"shiftleft(shiftrightunsigned(slot, {depth} - bits), {depth} - bits)")
+    )
+    fitting = prefixes.groupBy("bits", "first").agg(F.sum("bytes").alias("all"), F.sum("n").alias("hashes")).where(
+        (F.col("all") <= bucket_bytes) | (F.col("hashes") == 1) | (F.col("bits") == depth)
+    )
+    buckets = prefixes.join(fitting.select("bits", "first"), ["bits", "first"]).groupBy("slot").agg(
+        F.min_by("first", "bits").alias("bucket"), F.first("bytes").alias("bytes")
+    )
+    return depth, stored(buckets, "dedup-directory")
 
 
 _ENTRY = pa.schema([("h", pa.int64()), ("text", pa.string()), ("last", pa.int64()), ("copies", pa.int64())])
@@ -92,17 +93,17 @@ def build_index(docs: DataFrame, keys: DataFrame, **limits: int) -> DataFrame:
     """
     spark = docs.sparkSession
     sizes = keys.groupBy("h").agg(F.max("bytes").alias("bytes"))
-    depth, buckets = build_directory(sizes, **limits)
-    directory = stored(
-        spark.createDataFrame(list(enumerate(buckets)), "slot long, bucket long"), "dedup-directory"
-    )
+    depth, directory = build_directory(sizes, **limits)
     sent = docs.select("h", "text", "doc_id").mapInArrow(
         _combine, "h long, text string, last long, copies long"
     )
-    width = max(len(set(buckets)), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # An owner has several buckets where these are many: tasks grow with the root of the bytes.
+    held = directory.agg(F.countDistinct("bucket"), F.sum("bytes")).first()
+    roots = int(4 * ((held[1] or 0) / (1 << 20)) ** 0.5)
+    width = max(min(held[0], roots), int(spark.conf.get("spark.sql.shuffle.partitions")))
     owned = (
         sent.withColumn("slot", _slot(depth))
-        .join(F.broadcast(directory), "slot")  # 2 ** MAX_DEPTH rows of two numbers at most
+        .join(directory.select("slot", "bucket"), "slot")  # broadcast only while its files are small
         .repartition(width, "bucket")
         .groupBy("bucket", "h", "text")  # the bytes are compared here, in the owner
         .agg(F.max("last").alias("keep_id"), F.sum("copies").alias("group_size"))

@@ -15,7 +15,8 @@ reporting it counts as quoted, beside words of address as aimed at somebody. Cou
 these go to a logistic regression, trained on the same labelled documents.
 
 The labelled sample is bounded: about SAMPLE documents of either label, chosen by hash of
-their ids. Scoring reads every text whole.
+their ids. All terms of it that are significant are learnt, so the lexicon is bounded by
+the words of that sample. Scoring reads every text whole.
 
 Defined cases: a null or empty text has no hits and gets the score of a text without
 hits; without labels of both kinds there is no lexicon and all scores are 0; a null
@@ -33,17 +34,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import sliced, text_of
 
-#: The bounds of what is learnt: documents of either label (on average), terms.
+#: The bound of what is learnt from: documents of either label (on average).
 SAMPLE = 10_000
-LEXICON = 2_000
-#: A term must be in so many toxic documents, or in this share of them if that is more,
-#: and this many times as frequent there as elsewhere.
-SUPPORT, SUPPORT_SHARE, RATIO = 4, 0.005, 8.0
+#: A term must be this many times as frequent in toxic documents as elsewhere, and not by
+#: chance: the likelihood ratio statistic must be so much (8 in a million by chance).
+RATIO, SIGNIFICANT = 8.0, 20.0
 STEMS = range(4, 9)
 #: Weights that differ by less count as equal.
 CLOSE = 0.7
@@ -252,21 +252,34 @@ def choose_terms(rows: list[tuple[str, bool, float, int]]) -> list[tuple[str, bo
     add to the words and longer stems that begin with it.
     """
     chosen: dict[tuple[str, bool], tuple[float, int]] = {}
+    begun: dict[str, list[tuple[float, int]]] = {}
     for term, stem, weight, inside in sorted(rows, key=lambda r: (-r[3], r[1], -len(r[0]), r[0])):
         covers = [chosen[term[:k], True][0] for k in STEMS if (term[:k], True) in chosen]
         if covers and max(covers) >= weight - CLOSE:
             continue
-        longer = [
-            n for (other, _), (w, n) in chosen.items()
-            if stem and other.startswith(term) and w >= weight - CLOSE
-        ]
+        longer = [n for w, n in begun.get(term, ()) if stem and w >= weight - CLOSE]
         if sum(longer) < 0.9 * inside:
             chosen[term, stem] = (weight, inside)
-        if len(chosen) == LEXICON:
-            break
+            for k in STEMS:
+                if len(term) >= k:
+                    begun.setdefault(term[:k], []).append((weight, inside))
     return sorted(((*key, weight) for key, (weight, _) in chosen.items()), key=lambda t: (-t[2], t))
 
 
+def significance(inside: Column, toxic: int, outside: Column, others: int) -> Column:
+    """The likelihood ratio statistic of a term's being in ``inside`` of the ``toxic`` texts
+    and in ``outside`` of the others."""
+    share = (inside + outside) / float(toxic + others)
+
+    def cell(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    return 2 * (
+        cell(inside, share * toxic) + cell(toxic - inside, (1 - share) * toxic)
+        + cell(outside, share * others) + cell(others - outside, (1 - share) * others)
+    )
+
+
 def learn(docs: DataFrame, labels: DataFrame, seed: int = 0) -> Model | None:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); every row of
     ``labels`` may be learnt from."""
@@ -291,10 +304,9 @@ def learn(docs: DataFrame, labels: DataFrame, seed: int = 0) -> Model | None:
         texts.select("text", "toxic")
         .mapInArrow(_count_terms, "term string, stem boolean, toxic int, n long")
         .groupBy("term", "stem").agg(inside.alias("inside"), outside.alias("outside"))
-        .where(F.col("inside") >= max(SUPPORT, SUPPORT_SHARE * total[1]))
         .where(ratio >= RATIO)
+        .where(significance(F.col("inside"), total[1], F.col("outside"), total[0]) >= SIGNIFICANT)
         .select("term", "stem", F.log(ratio).alias("weight"), "inside")
-        .orderBy(F.desc("inside"), "term", "stem").limit(5 * LEXICON)  # the lexicon's bound
     )
     lexicon = choose_terms([tuple(row) for row in terms.collect()])
 

@@ -70,7 +70,7 @@ def test_exact_dedup(docs, none):
         keep = max((i for i in ids if i is not None), default=None)
         expected.update((i, keep, len(ids), i == keep, sha(text)) for i in ids)
     one_bucket = dict(bucket_bytes=1 << 40)
-    tiny_buckets = dict(bucket_bytes=1, max_depth=3)
+    tiny_buckets = dict(bucket_bytes=1)
     clashing = dict(hashed=lambda c: F.length(c).cast("long"))
     for options in ({}, one_bucket, tiny_buckets, clashing):
         found = exact_dedup.exact_duplicates(docs, **options).collect()
@@ -80,14 +80,36 @@ def test_exact_dedup(docs, none):
     assert exact_dedup.exact_duplicates(none).count() == 0 and exact_dedup.survivors(none).count() == 0
 
 
+def directory_by_brute_force(sizes, limit):
+    """The bucket of each hash, as first bits: split at every bit until it fits."""
+    parts = {}
+
+    def split(first, held):
+        if sum(size for _, size in held) <= limit or len(held) == 1 or len(first) == exact_dedup.HASH_BITS:
+            parts.update((h, first) for h, _ in held)
+            return
+        for bit in "01":
+            some = [(h, size) for h, size in held if f"{h % (1 << 64):064b}"[len(first)] == bit]
+            if some:
+                split(first + bit, some)
+
+    split("", sizes)
+    return parts
+
+
 def test_directory_doubles_and_splits(spark):
-    sizes = spark.createDataFrame([(h << 61, 10) for h in (-4, -3, 0, 1, 2)], "h long, bytes long")
-    depth, buckets = exact_dedup.build_directory(sizes, 20, 8)
-    held = Counter()
-    for row in sizes.collect():
-        held[buckets[(row["h"] % (1 << 64)) >> (64 - depth)]] += row["bytes"]
-    assert max(held.values()) <= 20 and len(set(buckets)) < len(buckets)
-    assert exact_dedup.build_directory(sizes.limit(0)) == (0, [0])
+    flat = [(h << 61, 10) for h in (-4, -3, 0, 1, 2)]
+    deep = [(h, 10) for h in range(6)] + [(7 << 20, 10), (-1, 500), (1 << 62, 5)]
+    for rows in (flat, deep):
+        depth, directory = exact_dedup.build_directory(spark.createDataFrame(rows, "h long, bytes long"), 20)
+        buckets = {r["slot"]: r["bucket"] for r in directory.collect()}
+        expected = directory_by_brute_force(rows, 20)
+        for h, _ in rows:
+            first = expected[h]
+            assert buckets[(h % (1 << 64)) >> (64 - depth)] == int(first.ljust(depth, "0") or "0", 2), (h, first)
+    assert depth > 16
+    depth, directory = exact_dedup.build_directory(spark.createDataFrame([], "h long, bytes long"))
+    assert depth == 0 and directory.count() == 0
 
 
 def test_licenses(docs, none):
@@ -134,6 +156,36 @@ def test_toxicity(spark, docs, none):
     assert {r["score"] for r in toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_terms_by_brute_force(spark):
+    import math
+    import random
+
+    draw = random.Random(6)
+    words = [f"w{chr(97 + i)}" for i in range(26)]
+    rows = [(i, " ".join(draw.sample(words[: 26 if i % 4 else 20], 9) + (["zzq"] if i % 9 == 4 else []))) for i in range(400)]
+    frame = spark.createDataFrame([(i, t, int(i % 4 == 0)) for i, t in rows], "id int, text string, toxic int")
+    total = Counter(r["toxic"] for r in frame.collect())
+    counts = frame.select("text", "toxic").mapInArrow(
+        toxicity._count_terms, "term string, stem boolean, toxic int, n long").groupBy("term", "stem").agg(
+        F.sum(F.expr("if(toxic = 1, n, 0)")).alias("a"), F.sum(F.expr("if(toxic = 0, n, 0)")).alias("b"))
+    found = counts.withColumn("g", toxicity.significance(F.col("a"), total[1], F.col("b"), total[0])).collect()
+    for r in found:
+        texts = [[r["term"] in re.split(r"\W+", t) for i, t in rows if (i % 4 == 0) == toxic] for toxic in (True, False)]
+        a, b = map(sum, texts)
+        assert (a, b) == (r["a"], r["b"])
+        g = 0.0
+        for seen, n in ((a, total[1]), (b, total[0])):
+            p = (a + b) / (total[0] + total[1])
+            g += sum(2 * x * math.log(x / (q * n)) for x, q in ((seen, p), (n - seen, 1 - p)) if x)
+        assert abs(g - r["g"]) < 1e-9
+    # Many terms: a stem and what it covers, and none left out for being one too many.
+    many = [(f"{i:05d}", False, 3.0, 9) for i in range(5000)]
+    assert len(toxicity.choose_terms(many)) == 5000
+    assert toxicity.choose_terms([("badword", False, 3.0, 9), ("badw", True, 3.0, 9)]) == [("badword", False, 3.0)]
+    assert toxicity.choose_terms([("badword", False, 3.0, 9), ("badw", True, 3.0, 30)]) == [
+        ("badw", True, 3.0)]
+
+
 def test_quotation_counts_apart():
     words = toxicity._Words(toxicity.Automaton([("idiot", False, 3.0)]))
     plain = toxicity.features("such an idiot", words)
