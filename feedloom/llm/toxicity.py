@@ -49,6 +49,8 @@ STEMS = range(4, 9)
 CLOSE = 0.7
 WINDOW = 6
 CACHED_WORDS = 400_000
+#: States an automaton keeps; with more it begins anew.
+HELD_STATES = 100_000
 
 TOKEN = re.compile(r"(?:[*@$]+(?=[^\W_]))?[^\W_](?:[^\W_]|(?:[*@$]+|[!'])(?=[^\W_]))*\**|[\"“”„«»]")
 #: Signs that can be a part of a word or stand around it.
@@ -91,6 +93,9 @@ class Automaton:
                 node = self.children[node][char]
             self.most[node] = max(self.most[node], allowed_edits(term))
             self.ends[node].append(i)
+        self._forget()
+
+    def _forget(self) -> None:
         # A state is its items: edits by node, and the best stem already read.
         self.known: dict[frozenset, int] = {}
         self.items: list[tuple[dict[int, int], tuple[int, int] | None]] = []
@@ -146,6 +151,8 @@ class Automaton:
         """(edits, place in the lexicon) of the nearest term."""
         if 2 * sum(map(str.isalpha, word)) < len(word):
             return None
+        if len(self.items) > HELD_STATES:
+            self._forget()
         state = self.start
         for char in word:
             if state < 0:
@@ -172,6 +179,18 @@ class _Words(dict):
         return found
 
 
+_HELD: dict[tuple, _Words] = {}
+
+
+def words_of(lexicon: list[tuple[str, bool, float]]) -> _Words:
+    """Matches by a lexicon; a worker keeps those of its last one for the tasks to come."""
+    key = tuple(lexicon)
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = _Words(Automaton(lexicon))
+    return _HELD[key]
+
+
 FEATURES = ("exact", "fuzzy", "quoted", "aimed", "terms", "density", "heaviest")
 
 
@@ -311,7 +330,7 @@ def learn(docs: DataFrame, labels: DataFrame, seed: int = 0) -> Model | None:
     lexicon = choose_terms([tuple(row) for row in terms.collect()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(Automaton(lexicon))
+        words = words_of(lexicon)
         for batch in sliced(batches):
             found = [features(text, words) for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -346,7 +365,7 @@ def score(docs: DataFrame, model: Model | None, kept: tuple[str, ...] = ("doc_id
     schema = rows.drop("_text").schema.add("score", "double").add("predicted", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(Automaton(model.lexicon)) if model else None
+        words = words_of(model.lexicon) if model else None
         for batch in sliced(batches):
             texts = batch["_text"].to_pylist()
             scores = model.score(np.array([features(t, words) for t in texts])) if model else np.zeros(len(texts))

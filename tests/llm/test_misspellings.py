@@ -45,3 +45,13 @@ def test_automaton_by_brute_force():
             near.append((min(distance(start, term) for start in starts), i))
         expected = min((n for n in near if n[0] <= toxicity.allowed_edits(lexicon[n[1]][0])), default=None)
         assert automaton.match(word) == expected, word
+
+
+def test_forgotten_states_change_nothing(monkeypatch):
+    words = ["idiot", "1diot", "ideot", "sc*m", "moronical", "harmless", "asshole", "ashole"]
+    whole = [toxicity.Automaton(LEXICON).match(word) for word in words]
+    monkeypatch.setattr(toxicity, "HELD_STATES", 3)
+    small = toxicity.Automaton(LEXICON)
+    assert [small.match(word) for word in words * 3] == whole * 3
+    assert toxicity.words_of(LEXICON) is toxicity.words_of(list(LEXICON))
+    assert toxicity.words_of(LEXICON[:1])["scum"] is None and toxicity.words_of(LEXICON)["scum"]
