@@ -25,9 +25,10 @@ prefixes nearly always end. What is left of a short class is filled by hash.
    smallest shingles of each prefix tell that nearly always, so rows stay short however
    long a prefix is, and what is made at a later one, too, is dropped as a repeat.
 
-A shingle that many documents of one Arrow batch share is sent once for the batch, with
-their list, so a hot shingle has a row for each batch and not for each document. Shingle
-hashes have 64 bits; similarities are exact counts of them.
+Shingles are dealt in blocks: what one batch has for a bucket of their hashes is one row, and
+a task compares the shingles of one bucket at a time. A shingle that many documents of a batch
+share is held once for the batch; the others who have it are sent after and only pass by.
+Shingle hashes have 64 bits; similarities are exact counts of them.
 
 Defined cases: a null text is an empty one; texts without words have an empty set, link
 with nothing and are their own component; fewer words than WORDS are one shingle; null
@@ -39,7 +40,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -65,6 +66,11 @@ FEW_PAIRS, STEP = 4, 64
 #: Rounds of labels between hubs; a hub and its copies need two.
 LABELS = 2
 CACHED_WORDS = 500_000
+#: Shingles in one row of a bucket.
+MOST_IN_ROW = 100_000
+#: Bits for a document whose set is wanted whole, and for all of them; beyond, more texts
+#: than those wanted come to the join that picks them.
+FILTER_BITS, MOST_FILTER_BITS = 16, 1 << 25
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _FACTORS = np.array(
@@ -73,6 +79,11 @@ _FACTORS = np.array(
 )
 
 
+#: Shingles are dealt by their products with an odd number; its inverse gives them back.
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_UNMIX = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHED_WORDS:
@@ -153,50 +164,135 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """token, cls, size, more: the emitted shingles of every class, each once for a batch.
+def _packed(columns: np.ndarray) -> bytes:
+    """Rows of longs by planes of their bytes, so that a shuffle's compression drops high zeros."""
+    return columns.view(np.uint8).reshape(*columns.shape, 8).transpose(0, 2, 1).tobytes()
 
-    ``more`` are the other classes of the batch that have the token.
-    """
-    held: dict[tuple[int, int], np.ndarray] = {}
-    count = 0
-    for batch in batches:
-        cls, size = batch["cls"].to_numpy(), batch["size"].to_numpy()
-        values = batch["emitted"].flatten().to_numpy()
-        ends = np.cumsum(batch["emitted"].value_lengths().to_numpy())
-        for i, key in enumerate(zip(cls.tolist(), size.tolist(), strict=True)):
-            if key not in held:
-                held[key] = values[ends[i - 1] if i else 0 : ends[i]]
-                count += len(held[key])
-        if count > 1 << 21:
-            yield from _combined(held)
-            held, count = {}, 0
-    yield from _combined(held)
-
-
-def _combined(held: dict[tuple[int, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, 8, -1).transpose(0, 2, 1)
+    return np.array(planes, order="C").view(np.int64)[..., 0]
+
+
+def _blocks(buckets: int, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """bucket, late, data: the emitted shingles of every class, dealt by hash, a row for each
+    bucket of a batch. Its first row has each shingle once, with one class and how many of
+    the batch have it; ``late`` rows have the other classes."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], np.ndarray] = {}
+        count = 0
+        for batch in batches:
+            cls, size = batch["cls"].to_numpy(), batch["size"].to_numpy()
+            values = batch["emitted"].flatten().to_numpy()
+            ends = np.cumsum(batch["emitted"].value_lengths().to_numpy())
+            for i, key in enumerate(zip(cls.tolist(), size.tolist(), strict=True)):
+                if key not in held:
+                    held[key] = values[ends[i - 1] if i else 0 : ends[i]]
+                    count += len(held[key])
+            if count > 1 << 21:
+                yield from _dealt(held, buckets, order)
+                held, count = {}, 0
+        yield from _dealt(held, buckets, order)
+
+    return blocks
+
+
+def _dealt(held: dict[tuple[int, int], np.ndarray], buckets: int, order: int) -> Iterator[pa.RecordBatch]:
     if not held:
         return
-    tokens = np.concatenate(list(held.values()))
-    owners = np.repeat(np.arange(len(held)), [len(v) for v in held.values()])
+    lengths = np.fromiter(map(len, held.values()), np.int64, len(held))
+    mixed = np.concatenate(list(held.values())).view(np.uint64) * _MIX
+    by = np.argsort(mixed, kind="stable")
+    mixed = mixed[by]
+    owners = np.repeat(np.arange(len(held)), lengths)[by]
     keys = np.array(list(held), np.int64)
-    order = np.argsort(tokens, kind="stable")
-    begins = np.append(True, tokens[order][1:] != tokens[order][:-1])
-    starts = np.flatnonzero(begins)
-    counts = np.diff(np.append(starts, len(tokens)))
-    # Shared tokens first; then the others as they came, so that rows of a class are together.
-    shared = np.repeat(counts > 1, counts)
-    heads, rest = order[begins & shared], order[~begins & shared]
-    single = np.sort(order[~shared])
-    rows = np.concatenate([heads, single])
-    bounds = np.append(0, np.cumsum(np.append(counts[counts > 1] - 1, np.zeros(len(single), np.int64))))
-    struct = pa.StructArray.from_arrays([pa.array(keys[owners[rest], i]) for i in (0, 1)], fields=list(_KEY))
-    more = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), struct)
-    whole = pa.RecordBatch.from_arrays(
-        [pa.array(tokens[rows]), pa.array(keys[owners[rows], 0]), pa.array(keys[owners[rows], 1]), more],
-        ["token", "cls", "size", "more"],
+    begins = np.append(True, mixed[1:] != mixed[:-1])
+    counts = np.zeros(len(mixed), np.int64)
+    counts[begins] = np.diff(np.append(np.flatnonzero(begins), len(mixed)))
+    if order:
+        counts += lengths[owners] << 32
+    made = []
+    for late, rows in ((False, np.flatnonzero(begins)), (True, np.flatnonzero(~begins))):
+        if not len(rows):
+            continue
+        tokens = mixed[rows]
+        deltas = np.diff(tokens, prepend=np.uint64(0))
+        # Both factors are below 2 ** 32; the bucket grows with the mixed shingle.
+        bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        columns = np.stack([deltas.view(np.int64), keys[owners[rows], 0], keys[owners[rows], 1], counts[rows]])
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        starts = np.union1d(starts, np.arange(0, len(rows), MOST_IN_ROW))
+        columns[0, starts] = tokens[starts].view(np.int64)
+        for start, end in zip(starts, np.append(starts[1:], len(rows)), strict=True):
+            made.append((int(bucket[start]), late, _packed(np.ascontiguousarray(columns[:, start:end]))))
+            if len(made) == 512:
+                yield _block_rows(made)
+                made = []
+    if made:
+        yield _block_rows(made)
+
+
+def _block_rows(made: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.bool_(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x, kind) for x, kind in zip(zip(*made, strict=True), kinds, strict=True)], ["bucket", "late", "data"]
     )
-    yield from (whole.slice(i, 50_000) for i in range(0, whole.num_rows, 50_000))
+
+
+def _shared_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """token, frequency, cls, size, m of the shingles that more than one class has; rows come
+    by bucket, the late ones last. Only the others of one bucket are held."""
+    now, first, known, out = None, [], None, []
+    for batch in batches:
+        for bucket, late, data in zip(*(batch[c].to_pylist() for c in ("bucket", "late", "data")), strict=True):
+            if bucket != now:
+                if first:
+                    out.append(_shared_rows(first)[1])
+                now, first, known = bucket, [], None
+            rows = _unpacked(data)
+            rows[0] = np.cumsum(rows[0].view(np.uint64)).view(np.int64)
+            if not late:
+                first.append(rows)
+                continue
+            if first:
+                known, own = _shared_rows(first)
+                out.append(own)
+                first = []
+            frequency = known[1][np.searchsorted(known[0], rows[0].view(np.uint64))]
+            out.append(np.stack([rows[0], frequency, rows[1], rows[2], rows[3] >> 32]))
+            if sum(x.shape[1] for x in out) > 50_000:
+                yield from _token_rows(out)
+                out = []
+        yield from _token_rows(out)
+        out = []
+    if first:
+        yield from _token_rows([_shared_rows(first)[1]])
+
+
+def _shared_rows(first: list[np.ndarray]) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The shared mixed shingles of a bucket with their frequencies, and their rows."""
+    rows = np.concatenate(first, axis=1)
+    rows = rows[:, np.argsort(rows[0].view(np.uint64), kind="stable")]
+    starts = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
+    number = rows[3] & 0xFFFFFFFF
+    frequency = np.add.reduceat(number, starts)
+    differ = [np.minimum.reduceat(x, starts) < np.maximum.reduceat(x, starts) for x in rows[1:3]]
+    shared = (np.maximum.reduceat(number, starts) > 1) | differ[0] | differ[1]
+    each = np.diff(np.append(starts, rows.shape[1]))
+    kept = rows[:, np.repeat(shared, each)]
+    known = rows[0, starts].view(np.uint64)[shared], frequency[shared]
+    return known, np.stack([kept[0], np.repeat(known[1], each[shared]), kept[1], kept[2], kept[3] >> 32])
+
+
+_SHARED = ["token", "frequency", "cls", "size", "m"]
+
+
+def _token_rows(out: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    rows = np.concatenate(out, axis=1) if out else np.empty((5, 0), np.int64)
+    rows[0] = (rows[0].view(np.uint64) * _UNMIX).view(np.int64)
+    for i in range(0, rows.shape[1], 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in rows], _SHARED)
 
 
 def parities(values: np.ndarray) -> np.ndarray:
@@ -226,63 +322,99 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _rank(order: int, token: Column, frequency: Column) -> Column:
-    """Sorts shingles as the global order does: first class, rare before frequent, hash."""
-    # pmod of the unsigned value: 2 ** 64 is a multiple of CLASSES.
-    number = F.pmod(token, F.lit(CLASSES))
-    later = F.pmod(number + (CLASSES - FIRST * order), F.lit(CLASSES)) >= FIRST
-    return F.struct(
-        later.alias("later"), F.when(later, F.lit(0)).otherwise(frequency).alias("frequency"),
-        token.alias("token"),
+def buckets_for(tokens: int) -> int:
+    """Into how many buckets so many shingles are dealt: small ones while they are few, and
+    few enough that a batch's share of one is more than a few shingles."""
+    return max(1, min(tokens >> 13, 1 << 13), tokens >> 20)
+
+
+def _shared(emitted: DataFrame, order: int) -> DataFrame:
+    """token, frequency, cls, size, m (how many the class emits, under the second order) of
+    all shingles that several classes emit; a class may come more than once."""
+    low_bits = F.col("size").bitwiseAND(F.lit((1 << 32) - 1))
+    buckets = buckets_for(emitted.agg(F.sum(low_bits)).first()[0] or 0)
+    return (
+        emitted.where("emitted is not null").select("cls", "size", "emitted")
+        .mapInArrow(_blocks(buckets, order), "bucket int, late boolean, data binary")
+        .repartition("bucket").sortWithinPartitions("bucket", "late")
+        .mapInArrow(_shared_of, "token long, frequency long, cls long, size long, m long")
     )
 
 
-def _prefixes(shared: DataFrame, order: int) -> DataFrame:
+def _prefixes(emitted: DataFrame, order: int) -> DataFrame:
     """node, lone, prefix: the shared shingles of each node's prefix, and the share of those
-    it emits that it has alone.
+    it emits that it has alone. Those of one node only take the first places of its prefix.
 
-    ``shared``: node, m (how many it emits), token, frequency of the emitted shingles that
-    several nodes have. Those of one node only take the first places of its prefix.
+    ``emitted``: cls, size and the emitted shingles of each node.
     """
-    n = F.shiftright(F.col("node.size"), 32)
-    prefix = n - F.ceil(n * SIMILAR / 100) + 1
-    places = prefix - (F.col("m") - F.size("ranks"))
-    ranks = F.collect_list(_rank(order, F.col("token"), F.col("frequency")))
-    return (
-        shared.groupBy("node")
-        .agg(F.sort_array(ranks).alias("ranks"), F.first("m").alias("m"))
-        .select("node", (1 - F.size("ranks") / F.col("m")).alias("lone"), F.slice(
-            F.transform("ranks", lambda r: r["token"]), F.lit(1), F.greatest(places, F.lit(0)).cast("int")
-        ).alias("prefix"))
-        .where("size(prefix) > 0")
+    return _shared(emitted, order).repartition("cls", "size").sortWithinPartitions("cls", "size").mapInArrow(
+        _cut(order), "node struct<cls:bigint,size:bigint>, lone double, prefix array<bigint>"
     )
 
 
-def _first_prefixes(narrow: DataFrame) -> DataFrame:
-    spread = narrow.where("emitted is not null").select("cls", "size", "emitted").mapInArrow(
-        _tokens, "token long, cls long, size long, more array<struct<cls:bigint,size:bigint>>"
-    ).select("token", F.struct("cls", "size").alias("own"), "more")
-    same = Window.partitionBy("token")
-    lowest = F.when(F.size("more") > 0, F.least(F.col("own"), F.array_min("more"))).otherwise(F.col("own"))
-    highest = F.when(F.size("more") > 0, F.greatest(F.col("own"), F.array_max("more"))).otherwise(F.col("own"))
-    shared = (
-        spread.select(
-            "token", "own", "more",
-            F.sum(F.size("more") + 1).over(same).alias("frequency"),
-            F.min(lowest).over(same).alias("low"), F.max(highest).over(same).alias("high"),
-        )
-        .where("low < high")  # more than one class has it
-        .select("token", "frequency", F.explode(F.concat(F.array("own"), "more")).alias("node"))
-        .dropDuplicates(["token", "node"])
+def _cut(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Prefixes under an order of shared shingles that come by node."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.stack([batch[c].to_numpy() for c in _SHARED])
+            changes = np.flatnonzero((rows[2:4, 1:] != rows[2:4, :-1]).any(axis=0)) + 1
+            if held and (held[-1][2:4, -1] != rows[2:4, 0]).any():
+                changes = np.append(0, changes)
+            if not len(changes):
+                held.append(rows)
+                continue
+            whole = [*held, rows[:, : changes[-1]]]
+            held = [rows[:, changes[-1] :]]
+            yield _prefix_rows(np.concatenate(whole, axis=1), order)
+        if held:
+            yield _prefix_rows(np.concatenate(held, axis=1), order)
+
+    return cut
+
+
+def _prefix_rows(rows: np.ndarray, order: int) -> pa.RecordBatch:
+    """Sorts shingles as the global order does: first class, rare before frequent, hash."""
+    node = np.cumsum(np.append(False, (rows[2:4, 1:] != rows[2:4, :-1]).any(axis=0)))
+    later = ~in_class(rows[0], order)
+    by = np.lexsort((rows[0], np.where(later, 0, rows[1]), later, node))
+    rows, node = rows[:, by], node[by]
+    again = np.append(False, (rows[0, 1:] == rows[0, :-1]) & (node[1:] == node[:-1]))
+    rows, node = rows[:, ~again], node[~again]
+    starts = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+    several = np.diff(np.append(starts, len(node)))
+    size = rows[3, starts]
+    m = rows[4, starts] if order else size & 0xFFFFFFFF
+    places = np.clip(prefix_length(size >> 32) - (m - several), 0, several)
+    tokens = rows[0, np.arange(len(node)) - starts[node] < places[node]]
+    some = places > 0
+    bounds = np.append(0, np.cumsum(places[some])).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.StructArray.from_arrays([pa.array(rows[2, starts][some]), pa.array(size[some])], fields=list(_KEY)),
+            pa.array(1 - several[some] / m[some]),
+            pa.ListArray.from_arrays(pa.array(bounds), pa.array(tokens)),
+        ],
+        ["node", "lone", "prefix"],
     )
-    low_bits = F.col("node.size").bitwiseAND(F.lit((1 << 32) - 1))
-    return _prefixes(shared.withColumn("m", low_bits), 0)
 
 
-def _second_prefixes(sets: DataFrame) -> DataFrame:
-    spread = sets.select(F.struct("cls", "size").alias("node"), F.size("second").alias("m"), F.explode("second").alias("token"))
-    frequent = spread.groupBy("token").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1")
-    return _prefixes(spread.join(frequent, "token"), 1)
+def _maybe(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose key has its bit among those of the wanted keys: all that are wanted, and
+    few others, so that few texts are shuffled."""
+    bits = 64
+    while bits < min(FILTER_BITS * wanted.count(), MOST_FILTER_BITS):
+        bits *= 2
+    word = F.shiftright(F.pmod("key", F.lit(bits)), 6).alias("word")
+    place = F.col("key").bitwiseAND(F.lit(63)).cast("int")
+    words = wanted.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)).alias("set"))
+    return (
+        rows.withColumn("word", word).join(F.broadcast(words), "word")
+        .where(F.getbit("set", place) == 1).drop("word", "set")
+    )
 
 
 def _fits(a: Column, b: Column) -> Column:
@@ -297,9 +429,9 @@ def _verified(pairs: DataFrame, second: DataFrame, sets: DataFrame) -> DataFrame
     side = lambda frame, name, column: frame.select(
         F.col("node").alias(name), F.col(column).alias(f"{column}_{name}")
     )
-    likely = (
+    likely = stored(
         pairs.join(side(second, "a", "prefix"), "a").join(side(second, "b", "prefix"), "b")
-        .where(F.arrays_overlap("prefix_a", "prefix_b")).select("a", "b")
+        .where(F.arrays_overlap("prefix_a", "prefix_b")).select("a", "b"), "jaccard-likely",
     )
     both = likely.join(side(sets, "a", "tokens"), "a").join(side(sets, "b", "tokens"), "b")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -423,7 +555,7 @@ def groups(docs: DataFrame) -> DataFrame:
         rows.mapInArrow(_sets, "doc_id long, key long, cls long, size long, n long, emitted array<long>"),
         "jaccard-sets", **{"parquet.enable.dictionary#emitted.list.element": "false"},
     )
-    first = stored(_first_prefixes(narrow), "jaccard-first")
+    first = stored(_prefixes(narrow, 0), "jaccard-first")
     narrow = narrow.drop("emitted")
     spread = first.select("node", F.col("lone").alias("rank"), F.explode("prefix").alias("token"))
     several = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -433,18 +565,18 @@ def groups(docs: DataFrame) -> DataFrame:
     classes = stored(
         narrow.where("n > 0").groupBy(F.struct("cls", "size").alias("node")).agg(F.min(place).alias("place")), "jaccard-classes"
     )
-    wanted = members.select("node").distinct().join(classes, "node").select(
+    wanted = stored(members.select("node").distinct().join(classes, "node").select(
         F.coalesce("place.doc_id", F.lit(0)).alias("of"), F.col("place.none").alias("none"),
         F.col("place.key").alias("key"),
-    )
-    texts = rows.withColumn("of", F.coalesce("doc_id", F.lit(0))).withColumn("none", F.isnull("doc_id"))
+    ), "jaccard-wanted")
+    texts = _maybe(rows, wanted).withColumn("of", F.coalesce("doc_id", F.lit(0))).withColumn("none", F.isnull("doc_id"))
     sets = texts.join(wanted, ["of", "none", "key"], "left_semi").select("text").mapInArrow(
         _whole_sets, "cls long, size long, tokens array<long>, second array<long>, bits array<long>"
     )
     sets = stored(sets, "jaccard-tokens")
     if not sets.groupBy("cls", "size").count().where("count > 1").isEmpty():
         sets = stored(sets.dropDuplicates(["cls", "size"]), "jaccard-tokens")  # repeated rows
-    second = stored(_second_prefixes(sets), "jaccard-second")
+    second = stored(_prefixes(sets.withColumnRenamed("second", "emitted"), 1), "jaccard-second")
     parts = _linked(
         members, first, second, sets.select(F.struct("cls", "size").alias("node"), "tokens", "bits")
     )
