@@ -202,30 +202,29 @@ def _dealt(held: dict[tuple[int, int], np.ndarray], buckets: int, order: int) ->
     if not held:
         return
     lengths = np.fromiter(map(len, held.values()), np.int64, len(held))
-    mixed = np.concatenate(list(held.values())).view(np.uint64) * _MIX
+    keys = np.array(list(held), np.int64)
+    mixed = np.concatenate(list(held.values())).view(np.uint64)
+    mixed *= _MIX
     by = np.argsort(mixed, kind="stable")
     mixed = mixed[by]
-    owners = np.repeat(np.arange(len(held)), lengths)[by]
-    keys = np.array(list(held), np.int64)
+    owners = np.repeat(np.arange(len(held), dtype=np.int32), lengths)[by]
+    del by
     begins = np.append(True, mixed[1:] != mixed[:-1])
-    counts = np.zeros(len(mixed), np.int64)
-    counts[begins] = np.diff(np.append(np.flatnonzero(begins), len(mixed)))
-    if order:
-        counts += lengths[owners] << 32
     made = []
     for late, rows in ((False, np.flatnonzero(begins)), (True, np.flatnonzero(~begins))):
         if not len(rows):
             continue
-        tokens = mixed[rows]
-        deltas = np.diff(tokens, prepend=np.uint64(0))
+        counts = np.zeros(len(rows), np.int64) if late else np.diff(rows, append=len(mixed))
         # Both factors are below 2 ** 32; the bucket grows with the mixed shingle.
-        bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        columns = np.stack([deltas.view(np.int64), keys[owners[rows], 0], keys[owners[rows], 1], counts[rows]])
+        bucket = (mixed[rows] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
         starts = np.union1d(starts, np.arange(0, len(rows), MOST_IN_ROW))
-        columns[0, starts] = tokens[starts].view(np.int64)
-        for start, end in zip(starts, np.append(starts[1:], len(rows)), strict=True):
-            made.append((int(bucket[start]), late, _packed(np.ascontiguousarray(columns[:, start:end]))))
+        bucket = bucket[starts].tolist()
+        for i, (start, end) in enumerate(zip(starts, np.append(starts[1:], len(rows)), strict=True)):
+            tokens, owner = mixed[rows[start:end]], owners[rows[start:end]]
+            count = counts[start:end] + (lengths[owner] << 32) if order else counts[start:end]
+            deltas = np.diff(tokens, prepend=np.uint64(0)).view(np.int64)
+            made.append((bucket[i], late, _packed(np.stack([deltas, keys[owner, 0], keys[owner, 1], count]))))
             if len(made) == 512:
                 yield _block_rows(made)
                 made = []
