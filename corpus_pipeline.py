@@ -36,8 +36,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's ids, what they decode to as a digest, and its offsets' summary."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, offsets=False)
-    return byte_bpe.decode(encoded, path).select(
+    return byte_bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"), "n_split",
     )

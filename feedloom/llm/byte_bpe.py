@@ -217,21 +217,32 @@ class PieceEncoder:
 ENCODED = "doc_id long, ids array<int>, starts array<int>, ends array<int>, n_split long"
 
 
+def _encoded(encoder: PieceEncoder, batch: pa.RecordBatch, offsets: bool) -> pa.RecordBatch:
+    counts, ids, starts, ends, split = encoder.encode(batch["text"].to_pylist())
+    bounds = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (ids, starts, ends)]
+    if not offsets:
+        lists[1:] = [pa.nulls(batch.num_rows, pa.list_(pa.int32()))] * 2
+    return pa.RecordBatch.from_arrays(
+        [batch["doc_id"], *lists, pa.array(split, pa.int64())],
+        ["doc_id", "ids", "starts", "ends", "n_split"],
+    )
+
+
+def _decoded(table: list[bytes], batch: pa.RecordBatch, kept: list[str]) -> pa.RecordBatch:
+    texts = [b"".join(map(table.__getitem__, ids or ())) for ids in _lists(batch["ids"])]
+    return pa.RecordBatch.from_arrays(
+        [batch[name] for name in kept] + [pa.array(texts, pa.binary())], [*kept, "decoded"]
+    )
+
+
 def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = True) -> DataFrame:
     """doc_id, ids, starts, ends (both null without ``offsets``), n_split of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(path, pattern)
         for batch in sliced(batches):
-            counts, ids, starts, ends, split = encoder.encode(batch["text"].to_pylist())
-            bounds = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (ids, starts, ends)]
-            if not offsets:
-                lists[1:] = [pa.nulls(batch.num_rows, pa.list_(pa.int32()))] * 2
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *lists, pa.array(split, pa.int64())],
-                ["doc_id", "ids", "starts", "ends", "n_split"],
-            )
+            yield _encoded(encoder, batch, offsets)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(run, ENCODED)
@@ -244,16 +255,25 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = byte_table(path)
         for batch in sliced(batches):
-            texts = [b"".join(map(table.__getitem__, ids or ())) for ids in _lists(batch["ids"])]
-            yield pa.RecordBatch.from_arrays(
-                [batch[name] for name in kept] + [pa.array(texts, pa.binary())],
-                [*kept, "decoded"],
-            )
+            yield _decoded(table, batch, kept)
 
     schema = encoded.select(*kept).schema
     return encoded.select(*kept).mapInArrow(run, schema.add("decoded", "binary"))
 
 
+def encode_and_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """As ``decode`` of what ``encode`` returns, in one worker: of two in a row, a task has
+    both at once, and an executor keeps them and their tables for the next tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, table = PieceEncoder(path, pattern), byte_table(path)
+        for batch in sliced(batches):
+            yield _decoded(table, _encoded(encoder, batch, False), ["doc_id", "ids", "n_split"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, n_split long, decoded binary")
+
+
 def decode_text(encoded: DataFrame, path: str) -> DataFrame:
     """As ``decode``, and the text of the bytes, U+FFFD in the place of broken ones."""
 
