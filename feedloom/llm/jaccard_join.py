@@ -403,9 +403,9 @@ def _prefix_rows(rows: np.ndarray, order: int) -> pa.RecordBatch:
 
 def _maybe(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows whose key has its bit among those of the wanted keys: all that are wanted, and
-    few others, so that few texts are shuffled."""
-    bits = 64
-    while bits < min(FILTER_BITS * wanted.count(), MOST_FILTER_BITS):
+    few others, so that few texts or sets are shuffled."""
+    bits, enough = 64, min(FILTER_BITS * wanted.count(), MOST_FILTER_BITS)
+    while bits < enough:
         bits *= 2
     word = F.shiftright(F.pmod("key", F.lit(bits)), 6).alias("word")
     place = F.col("key").bitwiseAND(F.lit(63)).cast("int")
@@ -428,16 +428,24 @@ def _verified(pairs: DataFrame, second: DataFrame, sets: DataFrame) -> DataFrame
     side = lambda frame, name, column: frame.select(
         F.col("node").alias(name), F.col(column).alias(f"{column}_{name}")
     )
+    second = _maybe(second.withColumn("key", F.xxhash64("node")), _ends(pairs))
     likely = stored(
         pairs.join(side(second, "a", "prefix"), "a").join(side(second, "b", "prefix"), "b")
         .where(F.arrays_overlap("prefix_a", "prefix_b")).select("a", "b"), "jaccard-likely",
     )
+    sets = _maybe(sets.withColumn("key", F.xxhash64("node")), _ends(likely))
     both = likely.join(side(sets, "a", "tokens"), "a").join(side(sets, "b", "tokens"), "b")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - common
     return both.where(common * 100 >= union * SIMILAR).select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """key (hash) of each node of pairs (a, b)."""
+    key = lambda name: pairs.select(F.xxhash64(name).alias("key"))
+    return stored(key("a").union(key("b")).distinct(), "jaccard-ends")
+
+
 def components(links: DataFrame, label: str = "jaccard-labels", rounds: int | None = None) -> DataFrame:
     """node, part: the smallest node reachable by links (a, b), for all that have one.
 
@@ -466,10 +474,12 @@ def components(links: DataFrame, label: str = "jaccard-labels", rounds: int | No
 
 
 def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, part: the components that similar members (token, node, rank) of a token make.
+    """node, part: the components that similar members (token, node, rank, n) of a token make.
 
-    The member with the smallest ``rank`` is the hub. What is in one component already is
-    only known in order to leave out pairs, so until the end LABELS rounds are enough.
+    The member with the smallest ``rank`` of a token's ``n`` is the hub. What is in one
+    component already is only known in order to leave out pairs, so until the end LABELS
+    rounds are enough. Draws are for tokens of many members, so the others, which have most
+    of the rows, only come in the end, when all pairs across components are looked at.
     """
     hubs = members.groupBy("token").agg(F.min(F.struct("rank", "node")).alias("hub"))
     pairs = members.join(hubs, "token").where(F.col("node") != F.col("hub.node")).select(
@@ -477,30 +487,45 @@ def _linked(members: DataFrame, first: DataFrame, second: DataFrame, sets: DataF
     )
     links = _add_links(None, pairs, second, sets)
     words = [F.col("bits")[i].alias(f"bits{i}") for i in range(BITS // 64)]
-    low = F.slice(F.sort_array("prefix"), 1, LOWEST).alias("low")
+    low = lambda tokens: F.slice(F.sort_array(tokens), 1, LOWEST).alias("low")
     known = stored(
-        first.select("node", low).join(sets.select("node", *words), "node")
+        first.select("node", low(F.col("prefix"))).join(sets.select("node", *words), "node")
         .join(members.select("node").distinct(), "node", "left_semi"), "jaccard-known",
     )
-    share = None
-    while True:
-        now = stored(
-            members.join(components(links, rounds=LABELS), "node", "left")
-            .select("token", "node", F.coalesce("part", "node").alias("part")),
-            "jaccard-members",
-        )
-        # The largest component of each token, and how many members are outside of it.
-        main = stored(
-            now.groupBy("token", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
-                F.max_by("part", F.struct("n", "part")).alias("main"),
-                F.sum("n").alias("all"), (F.sum("n") - F.max("n")).alias("outside"),
-            ).where("outside > 0"), "jaccard-main",
-        )
-        share = first_share(*main.agg(F.max("all"), F.sum(F.col("outside") * F.col("all")), F.sum("all")).first()) \
-            if share is None else share // STEP
-        links = _add_links(links, _across(now, main, known, share), second, sets)
-        if share == 1:
-            return components(links)
+    if (members.agg(F.max("n")).first()[0] or 0) >= 4 * STEP:
+        now, main = _apart(_many(members, STEP), links)
+        share = first_share(*main.agg(F.max("all"), F.sum(F.col("outside") * F.col("all")), F.sum("all")).first())
+        while share > 1:
+            # A pair's first common shingle must be one of those that come now.
+            lowest = now.groupBy("node").agg(low(F.collect_list("token")))
+            links = _add_links(links, _across(now, main, known.drop("low").join(lowest, "node"), share), second, sets)
+            share //= STEP
+            if share > 1:
+                now, main = _apart(_many(members, share), links)
+    now, main = _apart(members, links)
+    return components(_add_links(links, _across(now, main, known, 1), second, sets))
+
+
+def _many(members: DataFrame, share: int) -> DataFrame:
+    """Members of the tokens of which at least half a member is drawn, if one in ``share`` is."""
+    return members.where(F.col("n") * 2 >= share)
+
+
+def _apart(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """token, node, part of the members, and, of the tokens that have several parts, token,
+    main (the largest part), all (members) and how many of them are outside of it."""
+    now = stored(
+        members.join(components(links, rounds=LABELS), "node", "left")
+        .select("token", "node", F.coalesce("part", "node").alias("part")),
+        "jaccard-members",
+    )
+    main = (
+        now.groupBy("token", "part").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("token").agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("all"))
+        .select("token", F.col("most.part").alias("main"), "all", (F.col("all") - F.col("most.n")).alias("outside"))
+        .where("outside > 0")
+    )
+    return now, stored(main, "jaccard-main")
 
 
 def first_share(most: int | None, pairs: int | None, members: int | None) -> int:
@@ -519,17 +544,18 @@ def _across(now: DataFrame, main: DataFrame, known: DataFrame, share: int) -> Da
     drawn = lambda node: F.pmod(F.xxhash64(node), F.lit(share)) == 0
     detail = stored(
         now.join(main.select("token", "main"), "token")
-        .where((F.col("part") != F.col("main")) | drawn("node")).join(known, "node"), "jaccard-cross"
+        .withColumn("inside", F.col("part") == F.col("main")).drop("main")
+        .where(~F.col("inside") | drawn("node")).join(known, "node"), "jaccard-cross"
     )
     x, y = (detail.select([F.col(c).alias(f"{c}_{side}") for c in detail.columns]) for side in "xy")
     differ = sum(
         F.bit_count(F.col(f"bits{i}_x").bitwiseXOR(F.col(f"bits{i}_y"))) for i in range(BITS // 64)
     )
     both = F.shiftright(F.col("node_x.size"), 32) + F.shiftright(F.col("node_y.size"), 32)
-    return x.where("part_x != main_x").join(
+    return x.where(~F.col("inside_x")).join(
         y.where(drawn("node_y")),
         (F.col("token_x") == F.col("token_y")) & (F.col("part_x") != F.col("part_y"))
-        & ((F.col("part_y") == F.col("main_y")) | (F.col("node_x") < F.col("node_y")) | ~drawn("node_x"))
+        & (F.col("inside_y") | (F.col("node_x") < F.col("node_y")) | ~drawn("node_x"))
         & _fits(F.col("node_x"), F.col("node_y"))
         & (both * (100 - SIMILAR) >= differ * (100 + SIMILAR))
         & (F.coalesce(F.array_min(F.array_intersect("low_x", "low_y")), F.col("token_x")) >= F.col("token_x")),
@@ -558,7 +584,7 @@ def groups(docs: DataFrame) -> DataFrame:
     narrow = narrow.drop("emitted")
     spread = first.select("node", F.col("lone").alias("rank"), F.explode("prefix").alias("token"))
     several = spread.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(spread.join(several, "token").select("token", "node", "rank"), "jaccard-members")
+    members = stored(spread.join(several, "token").select("token", "node", "rank", "n"), "jaccard-members")
 
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     classes = stored(
