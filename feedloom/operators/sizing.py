@@ -22,6 +22,18 @@ def ranges_for(raw_bytes: int) -> int:
     return max(1, ceil(RANGES_PER_ROOT_MB * sqrt(raw_bytes / 1024**2)))
 
 
+def rows_per_file(rows: int, least: int, files: int) -> int:
+    """Rows a file of a stream holds at most: ``least``, and more where ``rows`` would make
+    more than ``files`` files of them.
+
+    A micro-batch costs its time however few rows it has, so a feed in files of a fixed number
+    of rows, some files per micro-batch, takes a time that its rows alone do not need.
+    """
+    if least < 1 or files < 1:
+        raise ValueError("a file needs a row, and rows need a file")
+    return max(least, -(-rows // files))
+
+
 def stored_rows(rows: DataFrame, label: str, sizes: dict | None = None, **options: str) -> tuple[DataFrame, dict]:
     """Rows written once to the shared folder and read from there, and what was counted meanwhile.
 

@@ -13,7 +13,7 @@ from feedloom import scratch
 from feedloom.contract import SORT_KEYS
 from feedloom.operators import accounting, arrival, differences, offsets, ordering, quota, runs, verify
 from feedloom.operators.intake import parse_feed, rejects, valid_records
-from feedloom.operators.sizing import stored_rows
+from feedloom.operators.sizing import rows_per_file, stored_rows
 from feedloom.plans import job
 from feedloom.sinks import resumed
 from feedloom.sinks.files import write_feed, write_lines, write_runs, write_stored_lines
@@ -39,6 +39,7 @@ FLUSH = 2000
 FAULT_EVERY = 1000
 HEAD_OFFSETS = 400
 STREAM_FILE_ROWS = 3000
+STREAM_FILES = 100
 DRAINS = 3
 SLICES = 4
 LATE_SECONDS = 86_400
@@ -302,8 +303,10 @@ def _publish_lines(spark, sf_dir):
 
 
 def _stream_three_orderings(spark, sf_dir):
+    """Files of ``STREAM_FILE_ROWS`` rows, two per micro-batch; of more rows if there were over ``STREAM_FILES``."""
     path = scratch.new_path(spark, "stream-orderings")
-    write_feed(tables.dirty_orders_feed(spark, sf_dir), f"{path}/feed", STREAM_FILE_ROWS)
+    at_most = rows_per_file(tables.orders_rows(spark, sf_dir), STREAM_FILE_ROWS, STREAM_FILES)
+    write_feed(tables.dirty_orders_feed(spark, sf_dir), f"{path}/feed", at_most)
     paths = job.order_stream(stream_feed(spark, f"{path}/feed", 2), path)
     return ordering.keyed({key: ordering.read_ordering(spark, p) for key, p in paths.items()})
 

@@ -52,6 +52,12 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_feed(rows.withColumn("value", line))
 
 
+def orders_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the orders table, from the files' footers. As many lines has the feed of it,
+    but for orders whose customer is missing or comes more than once."""
+    return _table(spark, sf_dir, "orders").count()
+
+
 def _damaged(rows: DataFrame) -> DataFrame:
     """Every kind of damage in fixed shares, plus odd lines that are still valid.
 

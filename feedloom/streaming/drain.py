@@ -9,6 +9,7 @@ from feedloom.contract import SORT_KEYS, sort_columns
 from feedloom.operators.intake import parse_feed, valid_records
 from feedloom.operators.ordering import ROW_MASK
 from feedloom.operators.runs import MARK_EVERY, merge_all
+from feedloom.operators.sizing import table_options
 
 
 def _batch_folder(path: str, batch_id: int) -> str:
@@ -19,13 +20,17 @@ def drain_feed(feed: DataFrame, path: str, checkpoint: str) -> None:
     """Parse everything in the stream into ``path``, then stop.
 
     Each micro-batch overwrites a folder of its own number, so one that is run
-    again after a failure replaces its rows instead of doubling them.
+    again after a failure replaces its rows instead of doubling them. The parser is a
+    part of the stream's plan: building it anew for each micro-batch took a third of
+    the time of a small one.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        parse_feed(batch).write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        batch.write.mode("overwrite").options(**table_options("raw", "offset")).parquet(
+            _batch_folder(path, batch_id)
+        )
 
-    drain(feed, store, checkpoint)
+    drain(parse_feed(feed), store, checkpoint)
 
 
 def drain_runs(
